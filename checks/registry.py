@@ -1,0 +1,177 @@
+"""One callable per query: (spark, directory of Parquet tables) -> DataFrame."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tellerflow.operators import audit, changes, clean, joins
+from tellerflow.plans import reports
+from tellerflow.sources import roles
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _accounts(s: SparkSession, d: str) -> DataFrame:
+    return clean.clean_accounts(roles.accounts_raw(s, d))
+
+
+def _customers(s: SparkSession, d: str) -> DataFrame:
+    return clean.clean_customers(roles.customers_raw(s, d))
+
+
+def _transactions(s: SparkSession, d: str) -> DataFrame:
+    return clean.clean_transactions(roles.transactions_raw(s, d))
+
+
+def _tables(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three clean tables with churn encoded."""
+    return clean.encode_churn(_accounts(s, d)), _customers(s, d), _transactions(s, d)
+
+
+def _banded(s: SparkSession, d: str, column: str, name: str, width: int) -> DataFrame:
+    tables = _tables(s, d)
+    bounds = joins.active_bounds(*tables, {column: name})
+    bands = reports.band_table(bounds, name, width, joins.MAX_BROADCAST_BANDS)
+    j = joins.account_customer_txn(*tables)
+    return joins.range_join(j, column, bands, f"min_{name}", f"max_{name}", width).select(
+        "Account_ID", "Customer_ID", "churn", column, "Transaction_ID", f"{name}_range"
+    )
+
+
+def _incremental(raw: DataFrame, is_new: str, cleaning: Callable[[DataFrame], DataFrame]):
+    """Load the rows that are not new, then append the new ones, each cleaned on its own."""
+    new = F.coalesce(F.expr(is_new), F.lit(False))
+    return changes.append(cleaning(raw.filter(~new)), cleaning(raw.filter(new)))
+
+
+def _read_and_clean() -> dict[str, Query]:
+    return {
+        "preview_accounts": lambda s, d: audit.preview(_accounts(s, d), 5, ["Account_ID"]),
+        "preview_customers": lambda s, d: audit.preview(_customers(s, d), 30, ["Customer_ID"]),
+        "preview_transactions": lambda s, d: audit.preview(
+            _transactions(s, d), 20, ["Transaction_ID"]
+        ),
+        "row_count_accounts": lambda s, d: audit.row_count(roles.accounts_raw(s, d)),
+        "clean_accounts": _accounts,
+        "clean_customers": _customers,
+        "clean_transactions": _transactions,
+        "encode_churn": lambda s, d: clean.encode_churn(_accounts(s, d)),
+        "mean_age": lambda s, d: clean.mean_age(roles.customers_raw(s, d)),
+        "dedup_customers": lambda s, d: clean.distinct_customers(roles.customers_raw(s, d)),
+    }
+
+
+def _audits() -> dict[str, Query]:
+    def settled(s: SparkSession, d: str) -> DataFrame:
+        return clean.fill_mean_age(clean.normalise_gender(roles.customers_raw(s, d)))
+
+    return {
+        "null_audit_accounts": lambda s, d: audit.rows_with_nulls(
+            clean.parse_account_dates(roles.accounts_raw(s, d))
+        ),
+        "null_audit_customers": lambda s, d: audit.rows_with_nulls(roles.customers_raw(s, d)),
+        "null_audit_transactions": lambda s, d: audit.rows_with_nulls(
+            roles.transactions_raw(s, d)
+        ),
+        "duplicate_customers": lambda s, d: audit.duplicate_rows(settled(s, d)),
+        "profile_credit_card_raw": lambda s, d: audit.value_profile(
+            roles.accounts_raw(s, d), "Credit_Card"
+        ),
+        "profile_credit_card_clean": lambda s, d: audit.value_profile(
+            _accounts(s, d), "Credit_Card"
+        ),
+        "profile_gender_raw": lambda s, d: audit.value_profile(roles.customers_raw(s, d), "Gender"),
+        "profile_gender_clean": lambda s, d: audit.value_profile(
+            clean.normalise_gender(roles.customers_raw(s, d)), "Gender"
+        ),
+        "profile_employment_raw": lambda s, d: audit.value_profile(
+            clean.distinct_customers(roles.customers_raw(s, d)), "Employment_Status"
+        ),
+        "profile_employment_clean": lambda s, d: audit.value_profile(
+            _customers(s, d), "Employment_Status"
+        ),
+        "profile_txn_type_raw": lambda s, d: audit.value_profile(
+            roles.transactions_raw(s, d), "Transaction_Type"
+        ),
+        "profile_txn_type_clean": lambda s, d: audit.value_profile(
+            _transactions(s, d), "Transaction_Type"
+        ),
+    }
+
+
+def _changes() -> dict[str, Query]:
+    return {
+        "phone_update": lambda s, d: changes.update_phone_numbers(
+            _customers(s, d), roles.updates(s, d)
+        ),
+        "doomed_customers": lambda s, d: changes.doomed_customers(
+            _accounts(s, d), roles.deletes(s, d)
+        ),
+        "delete_accounts": lambda s, d: changes.delete_accounts(
+            _accounts(s, d), roles.deletes(s, d)
+        ),
+        "delete_customers": lambda s, d: changes.delete_customers(
+            _accounts(s, d), _customers(s, d), roles.deletes(s, d)
+        ),
+        "delete_transactions": lambda s, d: changes.delete_transactions(
+            _transactions(s, d), roles.deletes(s, d)
+        ),
+        "delete_unmatched": lambda s, d: changes.delete_unmatched(
+            _accounts(s, d), roles.deletes(s, d)
+        ),
+        "orphan_transactions": lambda s, d: changes.orphan_transactions(
+            _accounts(s, d), _transactions(s, d), roles.deletes(s, d)
+        ),
+        "incremental_accounts": lambda s, d: _incremental(
+            roles.accounts_raw(s, d), "endswith(Open_Date, '/2001')", clean.clean_accounts
+        ),
+        "incremental_customers": lambda s, d: _incremental(
+            roles.customers_raw(s, d), "Country = 'NATION_7'", clean.clean_customers
+        ),
+        "incremental_transactions": lambda s, d: _incremental(
+            roles.transactions_raw(s, d),
+            "endswith(Transaction_Date, '/2001')",
+            clean.clean_transactions,
+        ),
+    }
+
+
+def _reports() -> dict[str, Query]:
+    return {
+        "churn_by_balance_range": lambda s, d: reports.churn_by_balance_range(s, _accounts(s, d)),
+        "churn_by_age_gender": lambda s, d: reports.churn_by_age_gender(
+            s, _accounts(s, d), _customers(s, d)
+        ),
+        "churn_counts": lambda s, d: reports.churn_counts(s, _accounts(s, d)),
+        "churn_by_gender": lambda s, d: reports.churn_by_gender(
+            s, _accounts(s, d), _customers(s, d)
+        ),
+        "churn_by_country": lambda s, d: reports.churn_by_country(
+            s, _accounts(s, d), _customers(s, d)
+        ),
+        "account_customer_txn": lambda s, d: joins.account_customer_txn(*_tables(s, d)),
+        "churn_by_txn_type": lambda s, d: reports.churn_by_txn_type(*_tables(s, d)),
+        "churn_by_tenure": lambda s, d: reports.churn_by_tenure(*_tables(s, d)),
+        "salary_bounds": lambda s, d: reports.salary_bounds(*_tables(s, d)),
+        "salary_ranges": lambda s, d: reports.salary_ranges(*_tables(s, d)),
+        "salary_range_join": lambda s, d: _banded(
+            s, d, "Estimated_Salary", "salary", reports.SALARY_WIDTH
+        ),
+        "churn_by_salary_range": lambda s, d: reports.churn_by_salary_range(*_tables(s, d)),
+        "credit_score_bounds": lambda s, d: reports.credit_score_bounds(*_tables(s, d)),
+        "credit_score_ranges": lambda s, d: reports.credit_score_ranges(*_tables(s, d)),
+        "credit_score_range_join": lambda s, d: _banded(
+            s, d, "Credit_Score", "credit_score", reports.CREDIT_SCORE_WIDTH
+        ),
+        "churn_by_credit_score_range": lambda s, d: reports.churn_by_credit_score_range(
+            *_tables(s, d)
+        ),
+        "churn_by_account_type": lambda s, d: reports.churn_by_account_type(*_tables(s, d)),
+    }
+
+
+def queries() -> dict[str, Query]:
+    return {**_read_and_clean(), **_audits(), **_changes(), **_reports()}
