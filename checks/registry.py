@@ -33,8 +33,10 @@ def _tables(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _banded(s: SparkSession, d: str, column: str, name: str, width: int) -> DataFrame:
     tables = _tables(s, d)
-    bounds = joins.active_bounds(*tables, {column: name})
-    bands = reports.band_table(bounds, name, width, joins.MAX_BROADCAST_BANDS)
+    accounts, customers, transactions = tables
+    active = joins.active_customers(accounts, transactions)
+    ends = joins.bounds(customers, active, {column: name})
+    bands = reports.band_table(ends, name, width, joins.MAX_BROADCAST_BANDS)
     j = joins.account_customer_txn(*tables)
     return joins.range_join(j, column, bands, f"min_{name}", f"max_{name}", width).select(
         "Account_ID", "Customer_ID", "churn", column, "Transaction_ID", f"{name}_range"

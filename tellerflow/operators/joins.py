@@ -84,35 +84,32 @@ def by_churn(counts: DataFrame, count_name: str) -> DataFrame:
     ).filter(F.col(count_name) > 0)
 
 
-def active_bounds(
-    accounts: DataFrame, customers: DataFrame, transactions: DataFrame, columns: dict[str, str]
-) -> DataFrame:
-    """One row with min and max over J of each column: ``{column: suffix of the output}``.
+def active_customers(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Distinct ``Customer_ID`` of the accounts that have transactions.
 
-    Smallest and largest values need no row counts, so accounts and customers are only tested
-    for having transactions, each reduced to one row per key first.
+    Existence needs no row counts: both sides are reduced to one row per key first.
     """
     used = transactions.select("Account_ID").distinct()
-    owners = (
-        accounts.select("Account_ID", "Customer_ID")
-        .distinct()
-        .join(used, "Account_ID", "left_semi")
-        .select("Customer_ID")
-        .distinct()
-    )
-    ends = [f(c).alias(f"{n}_{s}") for c, s in columns.items() for n, f in _ENDS]
-    merge = [f(f"{n}_{s}").alias(f"{n}_{s}") for s in columns.values() for n, f in _ENDS]
+    links = accounts.select("Account_ID", "Customer_ID").distinct()
+    return links.join(used, "Account_ID", "left_semi").select("Customer_ID").distinct()
+
+
+def bounds(customers: DataFrame, active: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row with ``min_<name>, max_<name>`` of each column over J: ``{column: name}``.
+
+    Repeated rows do not move a bound, so each customer is reduced to its own bounds first.
+    """
+    names = [(end, name) for name in columns.values() for end in ("min", "max")]
+    pick = {"min": F.min, "max": F.max}
+    own = [pick[e](c).alias(f"{e}_{n}") for c, n in columns.items() for e in ("min", "max")]
     return (
         customers.groupBy("Customer_ID")
-        .agg(*ends)
-        .join(owners, "Customer_ID", "left_semi")
-        .agg(*merge)
+        .agg(*own)
+        .join(active, "Customer_ID", "left_semi")
+        .agg(*[pick[e](f"{e}_{n}").alias(f"{e}_{n}") for e, n in names])
     )
 
 
-_ENDS = (("min", F.min), ("max", F.max))
-
-
 def range_join(
     df: DataFrame, column: str, bands: DataFrame, low: str, high: str, width: int
 ) -> DataFrame:

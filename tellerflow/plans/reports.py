@@ -17,10 +17,19 @@ from tellerflow.functions import (
     first_band_id,
     inside_band,
 )
-from tellerflow.operators.joins import active_bounds, activity, by_churn, customer_activity
+from tellerflow.operators.joins import (
+    active_customers,
+    activity,
+    bounds,
+    by_churn,
+    customer_activity,
+)
 
+# Band widths. Below, the banded columns and the names their bands go by.
 SALARY_WIDTH = 1000
 CREDIT_SCORE_WIDTH = 100
+SALARY = {"Estimated_Salary": "salary"}
+CREDIT_SCORE = {"Credit_Score": "credit_score"}
 
 
 def register_views(accounts: DataFrame, customers: DataFrame, transactions: DataFrame) -> None:
@@ -197,24 +206,24 @@ def churn_by_credit_score_range(accounts, customers, transactions) -> DataFrame:
 
 
 def salary_bounds(accounts, customers, transactions) -> DataFrame:
-    return active_bounds(accounts, customers, transactions, {"Estimated_Salary": "salary"})
+    return bounds(customers, active_customers(accounts, transactions), SALARY)
 
 
 def credit_score_bounds(accounts, customers, transactions) -> DataFrame:
-    return active_bounds(accounts, customers, transactions, {"Credit_Score": "credit_score"})
+    return bounds(customers, active_customers(accounts, transactions), CREDIT_SCORE)
 
 
-def band_table(bounds: DataFrame, name: str, width: int, limit: int | None = None) -> DataFrame:
+def band_table(ends: DataFrame, name: str, width: int, limit: int | None = None) -> DataFrame:
     """``min_<name>, max_<name>, <name>_range`` for the bands between the bounds, plus one.
 
     ``limit`` makes the job fail when there are more bands, for callers that broadcast them.
     """
-    single = dict(bounds.dtypes)[f"min_{name}"] == "float"
+    single = dict(ends.dtypes)[f"min_{name}"] == "float"
     first, last = (first_band_id(F.col(f"{end}_{name}"), width, single) for end in ("min", "max"))
     if limit is not None:
         too_many = F.raise_error(F.lit(f"more than {limit} bands of width {width}"))
         last = F.when(last - first + 2 > limit, too_many.cast("long")).otherwise(last)
-    return bounds.select(F.explode(F.sequence(first, last + 1)).alias("id")).select(
+    return ends.select(F.explode(F.sequence(first, last + 1)).alias("id")).select(
         (F.col("id") * width).alias(f"min_{name}"),
         (F.col("id") * width + (width - 1)).alias(f"max_{name}"),
         band_label(F.col("id"), width).alias(f"{name}_range"),

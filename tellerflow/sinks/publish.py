@@ -1,0 +1,53 @@
+"""One frame to several sinks."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from tellerflow.sinks.catalog import save_table
+from tellerflow.sinks.files import write_csv
+from tellerflow.sinks.jdbc import write_table
+from tellerflow.sinks.shared import materialize
+
+
+@dataclass(frozen=True)
+class Target:
+    """Where one entity goes; a part left out is not written."""
+
+    table: str | None = None
+    csv: str | None = None
+    connection: Mapping[str, str] | None = None
+    jdbc_table: str | None = None
+    connections: int | None = None
+    single_file: bool = False
+
+
+def write_exports(df: DataFrame, target: Target, mode: str) -> None:
+    """The sinks besides the catalog."""
+    if target.connection is not None and target.jdbc_table is not None:
+        write_table(df, target.connection, target.jdbc_table, mode, target.connections)
+    if target.csv is not None:
+        write_csv(df, target.csv, mode, target.single_file)
+
+
+def publish(df: DataFrame, target: Target, mode: str) -> DataFrame:
+    """Write ``df`` to every sink of ``target`` and return the rows written.
+
+    ``mode`` is "overwrite" or "append". For several sinks the frame is computed once: an
+    overwritten catalog table feeds the others, an appended batch is written to the shared
+    folder first.
+    """
+    if target.table is not None and mode == "overwrite":
+        save_table(df, target.table, mode)
+        df = df.sparkSession.table(target.table)
+    else:
+        sinks = (target.table, target.csv, target.jdbc_table)
+        if sum(s is not None for s in sinks) > 1:
+            df = materialize(df, "publish")
+        if target.table is not None:
+            save_table(df, target.table, mode)
+    write_exports(df, target, mode)
+    return df

@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from tellerflow import session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    work = tmp_path_factory.mktemp("spark")
+    s = session.local(
+        cpus=4,
+        memory="4g",
+        **{
+            "spark.sql.warehouse.dir": str(work / "warehouse"),
+            "spark.checkpoint.dir": str(work / "shared"),
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+    s.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def set_(**options):
+        for key, value in options.items():
+            key = key.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield set_
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def rows():
+    """The rows of a frame as a sorted list of tuples."""
+
+    def collect(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    return collect
