@@ -11,7 +11,7 @@ from tellerflow.operators import audit, changes, clean
 from tellerflow.operators.joins import activity, bounds
 from tellerflow.plans import reports
 from tellerflow.sinks import Target, materialize, publish, publish_staged
-from tellerflow.sinks.publish import write_exports
+from tellerflow.sinks.targets import write_exports
 
 
 class Entities(NamedTuple):

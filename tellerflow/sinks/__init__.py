@@ -1,7 +1,7 @@
 from tellerflow.sinks.catalog import PublishError, publish_staged, save_table
 from tellerflow.sinks.files import write_csv
 from tellerflow.sinks.jdbc import write_table
-from tellerflow.sinks.publish import Target, publish
+from tellerflow.sinks.targets import Target, publish
 from tellerflow.sinks.shared import materialize
 
 __all__ = [

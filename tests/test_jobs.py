@@ -1,0 +1,157 @@
+"""The jobs end to end on CSV files: load, load more, update, delete, analyse."""
+
+import pytest
+
+import helpers
+from tellerflow import sinks
+from tellerflow.operators import clean
+from tellerflow.plans import jobs, reports
+from tellerflow.plans.jobs import Entities
+
+
+def write_batch(folder, accounts, customers, transactions):
+    return Entities(
+        *(
+            helpers.write_csv_file(folder / f"{name}.csv", list(template), [
+                list({**template, **change}.values()) for change in changes
+            ])
+            for name, template, changes in (
+                ("accounts", helpers.ACCOUNT, accounts),
+                ("customers", helpers.CUSTOMER, customers),
+                ("transactions", helpers.TRANSACTION, transactions),
+            )
+        )
+    )
+
+
+@pytest.fixture
+def loaded(spark, tmp_path):
+    paths = write_batch(
+        tmp_path / "full",
+        [
+            {"Account_ID": 10, "Customer_ID": 1, "Churn": "Yes"},
+            {"Account_ID": 11, "Customer_ID": 1},
+            {"Account_ID": 20, "Customer_ID": 2, "Balance": "n/a"},
+        ],
+        [
+            {"Customer_ID": 1, "Age": 30},
+            {"Customer_ID": 1, "Age": 30, "Gender": "MALE"},
+            {"Customer_ID": 2, "Age": "", "Phone_Number": "02", "Estimated_Salary": 20999.5},
+        ],
+        [{"Transaction_ID": i, "Account_ID": a} for i, a in enumerate([10, 10, 11, 20])],
+    )
+    targets = Entities(
+        *(sinks.Target(table=f"jobs_{n}", csv=str(tmp_path / f"out_{n}"))
+          for n in ("accounts", "customers", "transactions"))
+    )
+    jobs.full_load(spark, paths, targets)
+    yield paths, targets
+    for t in targets:
+        spark.sql(f"DROP TABLE IF EXISTS {t.table}")
+
+
+def tables(spark, targets):
+    return Entities(*(spark.table(t.table) for t in targets))
+
+
+def csv_rows(spark, target):
+    return spark.read.option("header", "true").csv(target.csv).count()
+
+
+def test_full_load(spark, loaded, rows):
+    paths, targets = loaded
+    accounts, customers, transactions = tables(spark, targets)
+    assert rows(accounts.select("Account_ID", "Balance", "Credit_Card")) == [
+        (10, 1200.5, "Yes"), (11, 1200.5, "Yes"), (20, None, "Yes")
+    ]
+    assert rows(customers.select("Customer_ID", "Age", "Gender")) == [
+        (1, 30, "Male"), (2, 30, "Male")
+    ]
+    assert transactions.count() == 4
+    assert [csv_rows(spark, t) for t in targets] == [3, 2, 4]
+    jobs.full_load(spark, paths, targets)
+    assert [t.count() for t in tables(spark, targets)] == [3, 2, 4]
+
+
+def test_full_load_plus_increment_is_the_union(spark, loaded, tmp_path, rows):
+    _, targets = loaded
+    more = write_batch(
+        tmp_path / "more",
+        [{"Account_ID": 30, "Customer_ID": 3}],
+        [{"Customer_ID": 3, "Age": 50}, {"Customer_ID": 4, "Age": ""}],
+        [{"Account_ID": 30}, {"Account_ID": 30}],
+    )
+    before = [rows(t) for t in tables(spark, targets)]
+    batch = jobs.incremental_load(spark, more, targets)
+    after = [rows(t) for t in tables(spark, targets)]
+    for old, new, added in zip(before, after, batch, strict=True):
+        assert new == sorted(old + rows(added), key=repr)
+    ages = {r.Customer_ID: r.Age for r in spark.table(targets.customers.table).collect()}
+    assert ages == {1: 30, 2: 30, 3: 50, 4: 50}  # the mean of the batch alone
+    assert [csv_rows(spark, t) for t in targets] == [4, 4, 6]
+    jobs.incremental_load(spark, more, targets)
+    assert [t.count() for t in tables(spark, targets)] == [5, 6, 8]
+
+
+def test_update(spark, loaded, tmp_path, rows):
+    _, targets = loaded
+    path = helpers.write_csv_file(
+        tmp_path / "updates.csv",
+        ["UCustomer_ID", "Old_Phone_Number", "New_Phone_Number"],
+        [[1, "01", "91"], [2, "no", "92"]],
+    )
+    jobs.update_customers(spark, path, targets.customers)
+    assert rows(spark.table(targets.customers.table).select("Customer_ID", "Phone_Number")) == [
+        (1, "91"), (2, "02")
+    ]
+    assert csv_rows(spark, targets.customers) == 2
+
+
+def test_delete(spark, loaded, tmp_path, rows):
+    _, targets = loaded
+    path = helpers.write_csv_file(tmp_path / "deletes.csv", ["Account_ID"], [[10], [99], [10]])
+    jobs.delete_accounts(spark, path, targets)
+    accounts, customers, transactions = tables(spark, targets)
+    assert rows(accounts.select("Account_ID")) == [(20,)]
+    assert rows(customers.select("Customer_ID")) == [(2,)]
+    assert rows(transactions.select("Account_ID")) == [(11,), (20,)]
+    assert [csv_rows(spark, t) for t in targets] == [1, 1, 2]
+
+
+def test_audits(spark, loaded, rows):
+    paths, _ = loaded
+    raw = jobs.read_batch(spark, paths)
+    found = jobs.audit_batch(raw, jobs.clean_batch(raw))
+    assert found["row_count_accounts"].first().row_count == 3
+    assert found["null_audit_customers"].count() == 1
+    assert found["duplicate_customers"].count() == 1
+    assert rows(found["profile_gender_raw"]) == [("Gender", "MALE", 1), ("Gender", "m", 2)]
+    assert rows(found["profile_customers_clean"]) == [
+        ("Employment_Status", "Employed", 2), ("Gender", "Male", 2)
+    ]
+
+
+def test_analysis_equals_the_single_reports(spark, loaded, rows):
+    _, targets = loaded
+    found = tables(spark, targets)
+    accounts, customers, transactions = found
+    results = jobs.analyse(spark, found)
+    encoded = clean.encode_churn(accounts)
+    for name, df in results.items():
+        report = getattr(reports, name)
+        if name in ("churn_by_balance_range", "churn_counts"):
+            alone = report(spark, accounts)
+        elif name in ("churn_by_age_gender", "churn_by_gender", "churn_by_country"):
+            alone = report(spark, accounts, customers)
+        else:
+            alone = report(encoded, customers, transactions)
+        assert df.columns == alone.columns and rows(df) == rows(alone), name
+
+
+def test_views_for_sql_text(spark, loaded, rows):
+    _, targets = loaded
+    reports.register_views(*tables(spark, targets))
+    got = spark.sql("SELECT count(*) FROM accounts a JOIN customers USING (Customer_ID)")
+    assert rows(got) == [(3,)]
+    for view in ("accounts", "customers", "transactions"):
+        spark.catalog.dropTempView(view)

@@ -1,0 +1,126 @@
+"""One customer, account or NULL holds a third of the rows: same results, no hot task."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import helpers
+from tellerflow import schemas
+from tellerflow.operators import changes, clean, joins
+from tellerflow.plans import reports
+
+N = 6000
+
+
+@pytest.fixture(scope="module")
+def bank(spark, tmp_path_factory):
+    """Accounts: a third of customer 1, a third without one. Transactions: a third of account 1."""
+    folder = str(tmp_path_factory.mktemp("skew"))
+    ids = spark.range(N)
+    accounts = ids.select(
+        F.col("id").alias("Account_ID"),
+        F.expr("CAST(CASE id % 3 WHEN 0 THEN 1 WHEN 1 THEN id % 500 END AS INT) AS Customer_ID"),
+        F.concat(F.lit("T"), F.col("id") % 4).alias("Account_Type"),
+        F.lit("£5.00").alias("Balance"),
+        F.lit("05/01/2020").alias("Open_Date"),
+        F.lit("05/01/2020").alias("Last_Activity_Date"),
+        F.sha2(F.col("id").cast("string"), 512).alias("Credit_Card"),
+        F.when(F.col("id") % 5 == 0, "Yes").otherwise("No").alias("Churn"),
+    )
+    varied = {"Customer_ID": 1, "Tenure": 1, "Estimated_Salary": 700}
+    people = spark.range(500).select(
+        *[
+            (F.col("id") * varied[f.name] if f.name in varied else F.lit(helpers.CUSTOMER[f.name]))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in schemas.CUSTOMERS
+        ]
+    )
+    moves = spark.range(3 * N).select(
+        F.col("id").alias("Transaction_ID"),
+        F.expr("IF(id % 3 = 0, 1, id % 4000)").alias("Account_ID"),
+        F.concat(F.lit("Cash"), F.col("id") % 2).alias("Transaction_Type"),
+        F.sha2(F.col("id").cast("string"), 512).alias("Amount"),
+        F.lit("07/01/2020").alias("Transaction_Date"),
+    )
+    for name, df in (("accounts", accounts), ("people", people), ("moves", moves)):
+        df.write.parquet(f"{folder}/{name}")
+    return tuple(spark.read.parquet(f"{folder}/{n}") for n in ("accounts", "people", "moves"))
+
+
+@pytest.fixture
+def splitting(conf):
+    """Sort-merge joins only, and partitions that count as hot at test size."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__shuffle__partitions="16",
+    )
+
+
+def deletes(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], schemas.DELETES)
+
+
+def test_full_join_splits_hot_keys(bank, splitting):
+    accounts, people, moves = bank
+    j = joins.account_customer_txn(clean.encode_churn(accounts), people, moves)
+    plan = helpers.final_plan(j)
+    assert plan.count("skew=true") == 2, plan
+    j2 = moves.join(accounts, "Account_ID").join(people, "Customer_ID")
+    assert j.count() == j2.count() > N
+
+
+def test_deletes_split_hot_keys(spark, bank, splitting):
+    accounts, people, moves = bank
+    gone = deletes(spark, *range(7, N, 50))
+    for df in (
+        changes.delete_accounts(accounts, gone),
+        changes.delete_transactions(moves, gone),
+        changes.orphan_transactions(accounts, moves, deletes(spark, 3)),
+    ):
+        plan = helpers.final_plan(df)
+        assert "skew=true" in plan, plan
+
+
+def test_accounts_without_customer_are_spread(spark, bank, splitting):
+    """The rows with a NULL customer are no partition of their own in the delete."""
+    lone = bank[0].filter("Customer_ID IS NULL")
+    plan = helpers.final_plan(changes.delete_accounts(lone, deletes(spark, 2, 5)))
+    assert "SortMergeJoin" in plan and "skew=true" not in plan
+
+
+def test_update_splits_hot_keys(spark, bank, splitting):
+    number = F.when(F.col("Churn") == "?", "0").alias("Phone_Number")
+    people = bank[0].select("Customer_ID", number, "Credit_Card")
+    commands = spark.createDataFrame([(i, "0", "1") for i in range(50)], schemas.UPDATES)
+    got = changes.update_phone_numbers(people, commands)
+    assert "skew=true" in helpers.final_plan(got)
+    assert got.count() == N
+
+
+def naive(j, by, name):
+    return j.groupBy(*by).agg(F.count("*").alias(name))
+
+
+def test_reports_equal_counting_the_join(bank, rows):
+    accounts, people, moves = bank
+    encoded = clean.encode_churn(accounts)
+    args = encoded, people.union(people.limit(100)), moves
+    j = joins.account_customer_txn(*args)
+    for report, by, name in (
+        (reports.churn_by_txn_type, ["Transaction_Type", "churn"], "transaction_count"),
+        (reports.churn_by_account_type, ["Account_Type", "churn"], "count"),
+        (reports.churn_by_tenure, ["Tenure", "churn"], "count"),
+    ):
+        assert rows(report(*args)) == rows(naive(j, by, name))
+
+
+def test_reports_shuffle_counts_not_rows(bank, splitting):
+    """Each of the three tables is counted by its key before it is shuffled."""
+    accounts, people, moves = bank
+    report = reports.churn_by_tenure(clean.encode_churn(accounts), people, moves)
+    plan = helpers.final_plan(report)
+    assert plan.count("partial_count(1)") == 3 and "skew=true" not in plan, plan
