@@ -37,8 +37,10 @@ def gender(c: Column) -> Column:
 
 
 def strip_chars(c: Column, chars: str) -> Column:
-    """Remove every occurrence of each of ``chars`` in one pass."""
-    return F.translate(c, chars, "")
+    """Remove every occurrence of each of ``chars``, by plain text search."""
+    for char in chars:
+        c = F.replace(c, F.lit(char), F.lit(""))
+    return c
 
 
 def round_half_up(c: Column) -> Column:

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 import helpers
 from tellerflow.functions import gender, parse_date, parse_money, round_half_up, yes_no
+from tellerflow import schemas
 from tellerflow.operators import audit, clean
+from tellerflow.schemas import require_schema
 
 
 def apply(spark, rule, values, kind="string"):
@@ -85,6 +87,14 @@ def test_transactions(spark, rows):
     assert rows(got) == [("CashIn", 3.0), ("CashIn", None), (None, 3.0)]
 
 
+def test_clean_schemas(spark):
+    require_schema(clean.clean_accounts(helpers.accounts_raw(spark, {})), schemas.ACCOUNTS)
+    require_schema(clean.clean_customers(helpers.customers(spark, {})), schemas.CUSTOMERS)
+    require_schema(
+        clean.clean_transactions(helpers.transactions_raw(spark, {})), schemas.TRANSACTIONS
+    )
+
+
 def test_encode_churn(spark):
     raw = helpers.accounts(spark, {"Churn": "Yes"}, {"Churn": "yes"}, {"Churn": None})
     got = clean.encode_churn(raw)
