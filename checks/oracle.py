@@ -136,12 +136,11 @@ _RELATIONS = {
         FROM customers_batches GROUP BY is_new""",
 }
 
-_BALANCE_BAND = """CASE WHEN Balance >= 0 AND Balance <= 1000 THEN '0 - 1000'
-    WHEN Balance > 1000 AND Balance <= 5000 THEN '1000 - 5000'
-    WHEN Balance > 5000 AND Balance <= 10000 THEN '5000 - 10000' ELSE 'Above 10000' END"""
-_AGE_BAND = """CASE WHEN Age >= 18 AND Age <= 30 THEN '18-30'
-    WHEN Age > 30 AND Age <= 40 THEN '31-40' WHEN Age > 40 AND Age <= 50 THEN '41-50'
-    WHEN Age > 50 AND Age <= 60 THEN '51-60' ELSE '61+' END"""
+_BALANCE_BAND = """CASE WHEN Balance IS NULL OR Balance < 0 OR Balance > 10000 THEN 'Above 10000'
+    WHEN Balance > 5000 THEN '5000 - 10000' WHEN Balance > 1000 THEN '1000 - 5000'
+    ELSE '0 - 1000' END"""
+_AGE_BAND = """CASE WHEN Age IS NULL OR Age < 18 OR Age > 60 THEN '61+' WHEN Age > 50 THEN '51-60'
+    WHEN Age > 40 THEN '41-50' WHEN Age > 30 THEN '31-40' ELSE '18-30' END"""
 
 
 def _profile(relation: str, column: str) -> str:

@@ -86,11 +86,9 @@ def incremental_load(spark: SparkSession, paths: Entities, targets: Entities) ->
 def update_customers(spark: SparkSession, updates_path: str, target: Target) -> DataFrame:
     """Apply a file of phone number updates to the customer table and its exports."""
     updates = sources.read_updates(spark, updates_path)
-    updated = changes.update_phone_numbers(spark.table(target.table), updates)
-    publish_staged(spark, {target.table: updated})
-    published = spark.table(target.table)
-    write_exports(published, target, "overwrite")
-    return published
+    return publish(
+        changes.update_phone_numbers(spark.table(target.table), updates), target, "overwrite"
+    )
 
 
 def delete_accounts(spark: SparkSession, deletes_path: str, targets: Entities) -> Entities:

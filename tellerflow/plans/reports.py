@@ -160,7 +160,8 @@ def band_report(
     )
     occurring = (F.col("txn_count") > 0) & (F.col("churned_txn_count") >= 0)
     first = counts.filter(occurring).agg(F.min("_start")).scalar()
-    labelled = F.when(F.col("_inside") & (F.col("_band") >= first), band_label(F.col("_band"), width))
+    band = F.col("_band")
+    labelled = F.when(F.col("_inside") & (band >= first), band_label(band, width))
     return (
         counts.groupBy(labelled.alias(label))
         .agg(
@@ -182,34 +183,48 @@ def credit_score_report(act: DataFrame, customers: DataFrame) -> DataFrame:
     return report.select("credit_score_range", "total_customers", "churn_count")
 
 
-def churn_by_txn_type(accounts, customers, transactions) -> DataFrame:
+def churn_by_txn_type(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return txn_type_report(activity(accounts, transactions, "Transaction_Type"), customers)
 
 
-def churn_by_account_type(accounts, customers, transactions) -> DataFrame:
+def churn_by_account_type(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return account_type_report(activity(accounts, transactions, "Account_Type"), customers)
 
 
-def churn_by_tenure(accounts, customers, transactions) -> DataFrame:
+def churn_by_tenure(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return tenure_report(activity(accounts, transactions), customers)
 
 
-def churn_by_salary_range(accounts, customers, transactions) -> DataFrame:
+def churn_by_salary_range(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return salary_report(activity(accounts, transactions), customers)
 
 
-def churn_by_credit_score_range(accounts, customers, transactions) -> DataFrame:
+def churn_by_credit_score_range(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return credit_score_report(activity(accounts, transactions), customers)
 
 
 # ---- bounds and band tables ------------------------------------------------------------------
 
 
-def salary_bounds(accounts, customers, transactions) -> DataFrame:
+def salary_bounds(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return bounds(customers, active_customers(accounts, transactions), SALARY)
 
 
-def credit_score_bounds(accounts, customers, transactions) -> DataFrame:
+def credit_score_bounds(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return bounds(customers, active_customers(accounts, transactions), CREDIT_SCORE)
 
 
@@ -230,11 +245,15 @@ def band_table(ends: DataFrame, name: str, width: int, limit: int | None = None)
     )
 
 
-def salary_ranges(accounts, customers, transactions) -> DataFrame:
+def salary_ranges(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return band_table(salary_bounds(accounts, customers, transactions), "salary", SALARY_WIDTH)
 
 
-def credit_score_ranges(accounts, customers, transactions) -> DataFrame:
+def credit_score_ranges(
+    accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+) -> DataFrame:
     return band_table(
         credit_score_bounds(accounts, customers, transactions), "credit_score", CREDIT_SCORE_WIDTH
     )

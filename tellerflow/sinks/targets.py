@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tellerflow.sinks.catalog import save_table
+from tellerflow.sinks.catalog import publish_staged, save_table
 from tellerflow.sinks.files import write_csv
 from tellerflow.sinks.jdbc import write_table
 from tellerflow.sinks.shared import materialize
@@ -37,11 +37,11 @@ def publish(df: DataFrame, target: Target, mode: str) -> DataFrame:
     """Write ``df`` to every sink of ``target`` and return the rows written.
 
     ``mode`` is "overwrite" or "append". For several sinks the frame is computed once: an
-    overwritten catalog table feeds the others, an appended batch is written to the shared
-    folder first.
+    overwritten catalog table, which is staged and swapped in, feeds the others; an appended
+    batch is written to the shared folder first.
     """
     if target.table is not None and mode == "overwrite":
-        save_table(df, target.table, mode)
+        publish_staged(df.sparkSession, {target.table: df})
         df = df.sparkSession.table(target.table)
     else:
         sinks = (target.table, target.csv, target.jdbc_table)

@@ -23,9 +23,18 @@ def _follow(
     cleaning: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str,
+    files_per_batch: int,
 ) -> StreamingQuery:
-    """Clean the CSV files new in ``source`` since the last call, append them, and stop."""
-    raw = spark.readStream.option("header", "true").schema(schema).csv(source)
+    """Clean the CSV files new in ``source`` since the last call, append them, and stop.
+
+    A long backlog is worked off in batches of ``files_per_batch`` files, each of them committed.
+    """
+    raw = (
+        spark.readStream.option("header", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .schema(schema)
+        .csv(source)
+    )
     return (
         cleaning(raw)
         .writeStream.format("parquet")
@@ -37,16 +46,28 @@ def _follow(
 
 
 def follow_accounts(
-    spark: SparkSession, source: str, target: str, checkpoint: str
+    spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
     return _follow(
-        spark, source, schemas.ACCOUNTS_RAW, clean.clean_accounts, target, checkpoint
+        spark,
+        source,
+        schemas.ACCOUNTS_RAW,
+        clean.clean_accounts,
+        target,
+        checkpoint,
+        files_per_batch,
     )
 
 
 def follow_transactions(
-    spark: SparkSession, source: str, target: str, checkpoint: str
+    spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
     return _follow(
-        spark, source, schemas.TRANSACTIONS_RAW, clean.clean_transactions, target, checkpoint
+        spark,
+        source,
+        schemas.TRANSACTIONS_RAW,
+        clean.clean_transactions,
+        target,
+        checkpoint,
+        files_per_batch,
     )
