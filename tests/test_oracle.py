@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from checks import compare
+from tellerchecks import compare
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = queries()

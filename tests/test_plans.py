@@ -5,7 +5,7 @@ import re
 import pytest
 
 import helpers
-from checks.registry import queries
+from tellerchecks.registry import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = queries()

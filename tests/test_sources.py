@@ -2,7 +2,7 @@ import pytest
 
 import helpers
 from tellerflow import schemas, sources
-from tellerflow.sources import jdbc
+from tellerflow.sources import jdbc, roles
 from tellerflow.sinks import jdbc as jdbc_sink
 
 ACCOUNT_HEADER = list(helpers.ACCOUNT)
@@ -67,6 +67,14 @@ def test_schemas(spark):
     assert len(schemas.CUSTOMERS) == 14
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+@pytest.mark.parametrize("name", roles.TABLES)
+def test_declared_columns_are_those_of_the_files(spark, name, sf):
+    found = spark.read.parquet(f"/root/testdata/sf{sf}/{name}.parquet")
+    declared = schemas.as_struct(roles.TABLES[name])
+    schemas.require_schema(found.select(*declared.fieldNames()), declared)
+
+
 class Calls:
     """Stands in for a reader, a writer and their owners, and notes what they are told.
 
