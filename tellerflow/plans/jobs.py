@@ -116,10 +116,12 @@ def delete_accounts(spark: SparkSession, deletes_path: str, targets: Entities) -
 def analyse(spark: SparkSession, tables: Entities) -> dict[str, DataFrame]:
     """All reports over the clean tables.
 
-    The join of accounts and transactions is counted once, by every column a report groups by,
-    and written to the shared folder; the reports and bounds over transactions read that.
+    Accounts per customer, and the join of accounts and transactions by every column a report
+    groups by, are counted once and written to the shared folder. The reports read these counts,
+    so the transactions are scanned once.
     """
     accounts, customers, transactions = tables
+    owned = materialize(reports.accounts_per_customer(accounts), "accounts_per_customer")
     act = materialize(
         activity(clean.encode_churn(accounts), transactions, "Transaction_Type", "Account_Type"),
         "activity",
@@ -129,10 +131,10 @@ def analyse(spark: SparkSession, tables: Entities) -> dict[str, DataFrame]:
     score = bounds(customers, active, reports.CREDIT_SCORE)
     return {
         "churn_by_balance_range": reports.churn_by_balance_range(spark, accounts),
-        "churn_by_age_gender": reports.churn_by_age_gender(spark, accounts, customers),
+        "churn_by_age_gender": reports.age_gender_report(spark, owned, customers),
         "churn_counts": reports.churn_counts(spark, accounts),
-        "churn_by_gender": reports.churn_by_gender(spark, accounts, customers),
-        "churn_by_country": reports.churn_by_country(spark, accounts, customers),
+        "churn_by_gender": reports.gender_report(spark, owned, customers),
+        "churn_by_country": reports.country_report(spark, owned, customers),
         "churn_by_txn_type": reports.txn_type_report(act, customers),
         "churn_by_tenure": reports.tenure_report(act, customers),
         "salary_bounds": salary,

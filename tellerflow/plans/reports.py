@@ -59,59 +59,72 @@ def churn_counts(spark: SparkSession, accounts: DataFrame) -> DataFrame:
     )
 
 
-# Accounts meet customers on a key that one customer may dominate. Both sides are counted per
-# customer first, so at most a few rows per customer take part in the join.
-_ACCOUNTS_PER_CUSTOMER = """
-    SELECT Customer_ID, Churn, COUNT(*) AS n FROM {accounts} GROUP BY Customer_ID, Churn"""
+def accounts_per_customer(accounts: DataFrame) -> DataFrame:
+    """``Customer_ID, Churn, n``: what the reports below need to know of the accounts.
 
+    Accounts meet customers on a key that one customer may dominate. Counted first, at most a
+    few rows per customer take part in the join.
+    """
+    return accounts.groupBy("Customer_ID", "Churn").agg(F.count("*").alias("n"))
 
-def churn_by_age_gender(
-    spark: SparkSession, accounts: DataFrame, customers: DataFrame
-) -> DataFrame:
+
+def age_gender_report(spark: SparkSession, owned: DataFrame, customers: DataFrame) -> DataFrame:
     return spark.sql(
         f"""
         SELECT c.Age_Range, c.Gender, a.Churn, SUM(c.n * a.n) AS Count
         FROM (SELECT Customer_ID, {AGE_BANDS} AS Age_Range, Gender, COUNT(*) AS n
               FROM {{customers}} GROUP BY 1, 2, 3) c
-        JOIN ({_ACCOUNTS_PER_CUSTOMER}) a ON c.Customer_ID = a.Customer_ID
+        JOIN {{owned}} a ON c.Customer_ID = a.Customer_ID
         GROUP BY c.Age_Range, c.Gender, a.Churn
         ORDER BY c.Age_Range, c.Gender, a.Churn
         """,
-        accounts=accounts,
+        owned=owned,
         customers=customers,
     )
 
 
-def churn_by_gender(spark: SparkSession, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+def gender_report(spark: SparkSession, owned: DataFrame, customers: DataFrame) -> DataFrame:
     return spark.sql(
-        f"""
+        """
         SELECT c.Gender AS gender, a.Churn AS churn, SUM(c.n * a.n) AS count
-        FROM (SELECT Customer_ID, Gender, COUNT(*) AS n FROM {{customers}} GROUP BY 1, 2) c
-        JOIN ({_ACCOUNTS_PER_CUSTOMER}) a ON c.Customer_ID = a.Customer_ID
+        FROM (SELECT Customer_ID, Gender, COUNT(*) AS n FROM {customers} GROUP BY 1, 2) c
+        JOIN {owned} a ON c.Customer_ID = a.Customer_ID
         GROUP BY c.Gender, a.Churn ORDER BY c.Gender, a.Churn
         """,
-        accounts=accounts,
+        owned=owned,
         customers=customers,
     )
 
 
-def churn_by_country(spark: SparkSession, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+def country_report(spark: SparkSession, owned: DataFrame, customers: DataFrame) -> DataFrame:
     """``total_customers`` counts accounts, not customers."""
     return spark.sql(
         """
         SELECT c.Country AS country, SUM(c.n * a.n) AS total_customers,
-               SUM(c.n * a.churned) AS churn_count
+               SUM(CASE WHEN a.Churn = 'Yes' THEN c.n * a.n ELSE 0 END) AS churn_count
         FROM (SELECT Customer_ID, Country, COUNT(*) AS n FROM {customers} GROUP BY 1, 2) c
-        JOIN (SELECT Customer_ID, COUNT(*) AS n,
-                     SUM(CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END) AS churned
-              FROM {accounts} GROUP BY Customer_ID) a ON c.Customer_ID = a.Customer_ID
+        JOIN {owned} a ON c.Customer_ID = a.Customer_ID
         GROUP BY c.Country ORDER BY c.Country
         """,
-        accounts=accounts,
+        owned=owned,
         customers=customers,
     )
 
 
+def churn_by_age_gender(
+    spark: SparkSession, accounts: DataFrame, customers: DataFrame
+) -> DataFrame:
+    return age_gender_report(spark, accounts_per_customer(accounts), customers)
+
+
+def churn_by_gender(spark: SparkSession, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    return gender_report(spark, accounts_per_customer(accounts), customers)
+
+
+def churn_by_country(spark: SparkSession, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    return country_report(spark, accounts_per_customer(accounts), customers)
+
+
 # ---- reports over J --------------------------------------------------------------------------
 # Each takes ``act``, the result of ``activity`` by the columns the report groups by, or by more.
 

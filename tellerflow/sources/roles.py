@@ -94,4 +94,5 @@ def deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = orders.filter("o_totalprice >= 490000").selectExpr(
         "explode(array(CAST(o_orderkey AS INT), CAST(o_orderkey AS INT))) AS Account_ID"
     )
-    return listed.union(spark.sql("SELECT * FROM VALUES (-1), (CAST(NULL AS INT)) AS t(Account_ID)"))
+    others = spark.sql("SELECT * FROM VALUES (-1), (CAST(NULL AS INT)) AS t(Account_ID)")
+    return listed.union(others)

@@ -68,7 +68,10 @@ def test_range_join_and_arithmetic_agree(spark, rows, case):
     accounts, customers, transactions = tables(spark, CASES[case])
     known = [s for s in CASES[case] if s is not None]
     bands = (
-        [(1000 * b, 1000 * b + 999) for b in range(int(min(known) / 1000), int(max(known) / 1000) + 2)]
+        [
+            (1000 * b, 1000 * b + 999)
+            for b in range(int(min(known) / 1000), int(max(known) / 1000) + 2)
+        ]
         if known
         else []
     )

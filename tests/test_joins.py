@@ -80,8 +80,10 @@ def test_reports_against_nested_loops(spark, rows, seed):
         first, last = int(min(known) / width), int(max(known) / width) + 1
 
         def label(value):
-            bands = ((width * b, width * (b + 1) - 1) for b in range(first, last + 1))
-            return next((f"{p}-{q}" for p, q in bands if value is not None and p <= value <= q), None)
+            for low in range(width * first, width * last + 1, width):
+                if value is not None and low <= value <= low + width - 1:
+                    return f"{low}-{low + width - 1}"
+            return None
 
         got = report(*args)
         assert rows(got.select(got.columns[0], "total_customers")) == want(

@@ -17,7 +17,8 @@ def plan_of(df):
 
 def scanned(plan):
     """Columns read, per scan."""
-    return [set(re.findall(r"(\w+)#", m)) for m in re.findall(r"FileScan parquet \[([^\]]*)\]", plan)]
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    return [set(re.findall(r"(\w+)#", columns)) for columns in scans]
 
 
 @pytest.mark.parametrize("name", QUERIES)

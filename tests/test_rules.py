@@ -37,8 +37,8 @@ def test_categories(spark):
 
 
 def test_category_rules_are_idempotent(spark):
-    for rule, values in ((gender, ["Male", "Female", "Unknown"]), (yes_no, ["Yes", "No", "Unknown"])):
-        assert apply(spark, rule, values) == values
+    for rule, names in ((gender, ["Male", "Female"]), (yes_no, ["Yes", "No"])):
+        assert apply(spark, rule, [*names, "Unknown"]) == [*names, "Unknown"]
 
 
 def test_round_half_up(spark):

@@ -140,4 +140,5 @@ def test_jdbc_write(mode):
 def test_jdbc_write_refuses_existing_tables_by_default():
     calls = Calls()
     jdbc_sink.write_table(calls, LINK, "t")
-    assert calls.told["mode"] == "errorifexists" and calls.told["options"] == {**LINK, "dbtable": "t"}
+    assert calls.told["mode"] == "errorifexists"
+    assert calls.told["options"] == {**LINK, "dbtable": "t"}
