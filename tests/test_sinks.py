@@ -94,6 +94,15 @@ def test_staged_publish_sees_old_contents_of_all_tables(spark, table, rows):
     spark.sql(f"DROP TABLE {other}")
 
 
+def test_staged_publish_in_a_database(spark, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bank")
+    for values in ((1,), (2, 3)):
+        sinks.publish_staged(spark, {"bank.numbers": numbers(spark, *values)})
+    assert rows(spark.table("bank.numbers")) == [(2, "n2"), (3, "n3")]
+    assert [t.name for t in spark.catalog.listTables("bank") if not t.isTemporary] == ["numbers"]
+    spark.sql("DROP DATABASE bank CASCADE")
+
+
 def test_failing_frame_leaves_every_table(spark, table, rows):
     sinks.save_table(numbers(spark, 1), table)
     broken = spark.table(table).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
