@@ -10,8 +10,7 @@ from tellerflow import sources
 from tellerflow.operators import audit, changes, clean
 from tellerflow.operators.joins import activity, bounds
 from tellerflow.plans import reports
-from tellerflow.sinks import Target, materialize, publish, publish_staged
-from tellerflow.sinks.targets import write_exports
+from tellerflow.sinks import Target, add, materialize, replace
 
 
 class Entities(NamedTuple):
@@ -65,14 +64,13 @@ def audit_batch(raw: Entities, cleaned: Entities) -> dict[str, DataFrame]:
     }
 
 
-def _load(spark: SparkSession, paths: Entities, targets: Entities, mode: str) -> Entities:
-    cleaned = clean_batch(read_batch(spark, paths))
-    return Entities(*(publish(df, to, mode) for df, to in zip(cleaned, targets, strict=True)))
+def _replace(frames: Entities, targets: Entities) -> Entities:
+    return Entities(*replace(list(zip(frames, targets, strict=True))))
 
 
 def full_load(spark: SparkSession, paths: Entities, targets: Entities) -> Entities:
     """Clean three CSV inputs and replace the contents of every sink; returns what was written."""
-    return _load(spark, paths, targets, "overwrite")
+    return _replace(clean_batch(read_batch(spark, paths)), targets)
 
 
 def incremental_load(spark: SparkSession, paths: Entities, targets: Entities) -> Entities:
@@ -80,37 +78,31 @@ def incremental_load(spark: SparkSession, paths: Entities, targets: Entities) ->
 
     Mean age and de-duplication are those of the batch. Loading a batch twice adds it twice.
     """
-    return _load(spark, paths, targets, "append")
+    cleaned = clean_batch(read_batch(spark, paths))
+    return Entities(*(add(df, target) for df, target in zip(cleaned, targets, strict=True)))
 
 
 def update_customers(spark: SparkSession, updates_path: str, target: Target) -> DataFrame:
     """Apply a file of phone number updates to the customer table and its exports."""
     updates = sources.read_updates(spark, updates_path)
-    return publish(
-        changes.update_phone_numbers(spark.table(target.table), updates), target, "overwrite"
-    )
+    updated = changes.update_phone_numbers(spark.table(target.table), updates)
+    return replace([(updated, target)])[0]
 
 
 def delete_accounts(spark: SparkSession, deletes_path: str, targets: Entities) -> Entities:
     """Apply a file of account ids to the three tables and their exports.
 
-    All three are staged before any is replaced, so each sees the accounts as they were. The
-    number of jobs does not depend on the number of ids.
+    Each new table is computed from the accounts as they were. The number of jobs does not
+    depend on the number of ids.
     """
     deletes = materialize(sources.read_deletes(spark, deletes_path), "deletes")
     accounts, customers, transactions = (spark.table(t.table) for t in targets)
-    publish_staged(
-        spark,
-        {
-            targets.accounts.table: changes.delete_accounts(accounts, deletes),
-            targets.customers.table: changes.delete_customers(accounts, customers, deletes),
-            targets.transactions.table: changes.delete_transactions(transactions, deletes),
-        },
+    left = Entities(
+        changes.delete_accounts(accounts, deletes),
+        changes.delete_customers(accounts, customers, deletes),
+        changes.delete_transactions(transactions, deletes),
     )
-    published = Entities(*(spark.table(t.table) for t in targets))
-    for df, target in zip(published, targets, strict=True):
-        write_exports(df, target, "overwrite")
-    return published
+    return _replace(left, targets)
 
 
 def analyse(spark: SparkSession, tables: Entities) -> dict[str, DataFrame]:

@@ -1,15 +1,16 @@
 from tellerflow.sinks.catalog import PublishError, publish_staged, save_table
 from tellerflow.sinks.files import write_csv
 from tellerflow.sinks.jdbc import write_table
-from tellerflow.sinks.targets import Target, publish
+from tellerflow.sinks.targets import Target, add, replace
 from tellerflow.sinks.shared import materialize
 
 __all__ = [
     "PublishError",
     "Target",
+    "add",
     "materialize",
-    "publish",
     "publish_staged",
+    "replace",
     "save_table",
     "write_csv",
     "write_table",

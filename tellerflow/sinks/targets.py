@@ -1,8 +1,8 @@
-"""One frame to several sinks."""
+"""One frame to several sinks: replacing their contents, or adding to them."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -25,7 +25,7 @@ class Target:
     single_file: bool = False
 
 
-def write_exports(df: DataFrame, target: Target, mode: str) -> None:
+def _write_exports(df: DataFrame, target: Target, mode: str) -> None:
     """The sinks besides the catalog."""
     if target.connection is not None and target.jdbc_table is not None:
         write_table(df, target.connection, target.jdbc_table, mode, target.connections)
@@ -33,21 +33,36 @@ def write_exports(df: DataFrame, target: Target, mode: str) -> None:
         write_csv(df, target.csv, mode, target.single_file)
 
 
-def publish(df: DataFrame, target: Target, mode: str) -> DataFrame:
-    """Write ``df`` to every sink of ``target`` and return the rows written.
+def replace(frames: Sequence[tuple[DataFrame, Target]]) -> list[DataFrame]:
+    """Overwrite every sink of every target; returns the frames as they can now be read.
 
-    ``mode`` is "overwrite" or "append". For several sinks the frame is computed once: an
-    overwritten catalog table, which is staged and swapped in, feeds the others; an appended
-    batch is written to the shared folder first.
+    All catalog tables are staged before the first is swapped in, so the frames may read the
+    tables they replace. A frame is computed once: the other sinks are fed from its table, or
+    from the shared folder if it has none and goes to several.
     """
-    if target.table is not None and mode == "overwrite":
-        publish_staged(df.sparkSession, {target.table: df})
-        df = df.sparkSession.table(target.table)
-    else:
-        sinks = (target.table, target.csv, target.jdbc_table)
-        if sum(s is not None for s in sinks) > 1:
-            df = materialize(df, "publish")
+    tables = {target.table: df for df, target in frames if target.table is not None}
+    if tables:
+        publish_staged(frames[0][0].sparkSession, tables)
+    written = []
+    for df, target in frames:
         if target.table is not None:
-            save_table(df, target.table, mode)
-    write_exports(df, target, mode)
+            df = df.sparkSession.table(target.table)
+        elif target.csv is not None and target.jdbc_table is not None:
+            df = materialize(df, "replace")
+        _write_exports(df, target, "overwrite")
+        written.append(df)
+    return written
+
+
+def add(df: DataFrame, target: Target) -> DataFrame:
+    """Append a batch to every sink of ``target``; returns the batch.
+
+    For several sinks the batch is computed once, into the shared folder.
+    """
+    sinks = (target.table, target.csv, target.jdbc_table)
+    if sum(s is not None for s in sinks) > 1:
+        df = materialize(df, "add")
+    if target.table is not None:
+        save_table(df, target.table, "append")
+    _write_exports(df, target, "append")
     return df

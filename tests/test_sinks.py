@@ -167,8 +167,8 @@ def test_multi_sink(spark, table, tmp_path, rows, monkeypatch):
     target = sinks.Target(
         table=table, csv=str(tmp_path / "csv"), connection={"url": "jdbc:x"}, jdbc_table="j"
     )
-    assert rows(sinks.publish(numbers(spark, 1), target, "overwrite")) == [(1, "n1")]
-    assert rows(sinks.publish(numbers(spark, 2), target, "append")) == [(2, "n2")]
+    assert rows(sinks.replace([(numbers(spark, 1), target)])[0]) == [(1, "n1")]
+    assert rows(sinks.add(numbers(spark, 2), target)) == [(2, "n2")]
     assert calls == [([(1, "n1")], "j", "overwrite"), ([(2, "n2")], "j", "append")]
     both = [(1, "n1"), (2, "n2")]
     assert rows(spark.table(table)) == both
@@ -186,7 +186,21 @@ def test_frame_is_computed_once_for_all_sinks(spark, table, tmp_path):
 
     df = numbers(spark, 1, 2, 3).mapInPandas(note, "k int, v string")
     target = sinks.Target(table=table, csv=str(tmp_path / "csv"))
-    sinks.publish(df, target, "overwrite")
+    sinks.replace([(df, target)])
     assert seen.value == 3
-    sinks.publish(df, target, "append")
+    sinks.add(df, target)
     assert seen.value == 6
+
+
+def test_sinks_without_a_table(spark, tmp_path, rows, monkeypatch):
+    calls = []
+    monkeypatch.setattr(
+        "tellerflow.sinks.targets.write_table", lambda df, *rest: calls.append((rows(df), *rest))
+    )
+    target = sinks.Target(csv=str(tmp_path / "csv"), connection={"url": "u"}, jdbc_table="j")
+    sinks.replace([(numbers(spark, 1), target)])
+    sinks.replace([(numbers(spark, 2), target)])
+    sinks.add(numbers(spark, 3), target)
+    assert [c[0] for c in calls] == [[(1, "n1")], [(2, "n2")], [(3, "n3")]]
+    files = spark.read.option("header", "true").schema("k int, v string").csv(target.csv)
+    assert rows(files) == [(2, "n2"), (3, "n3")]
