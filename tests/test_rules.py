@@ -1,3 +1,6 @@
+import random
+import re
+import struct
 from datetime import date
 
 import pytest
@@ -27,6 +30,36 @@ def test_dates(spark):
     assert apply(spark, parse_date, bad) == [None] * len(bad)
 
 
+def test_money_against_python(spark):
+    r = random.Random(1)
+    values = ["".join(r.choices("0123456789..,£-e ", k=r.randint(0, 9))) for _ in range(400)]
+
+    def want(text):
+        try:
+            return struct.unpack("f", struct.pack("f", float(re.sub("[^0-9.]", "", text))))[0]
+        except ValueError:
+            return None
+
+    assert apply(spark, parse_money, values) == [want(v) for v in values]
+
+
+def test_dates_against_python(spark):
+    r = random.Random(2)
+    values = [
+        f"{r.randint(0, 33)}/{r.randint(0, 13):02}/{r.randint(1999, 2021)}" for _ in range(400)
+    ]
+    values += ["".join(r.choices("0123456789/", k=10)) for _ in range(100)]
+
+    def want(text):
+        found = re.fullmatch(r"(\d\d?)/(\d\d?)/(\d{4})", text)
+        try:
+            return date(*map(int, reversed(found.groups()))) if found else None
+        except ValueError:
+            return None
+
+    assert apply(spark, parse_date, values) == [want(v) for v in values]
+
+
 def test_categories(spark):
     genders = ["m", "MALE", "f", "Female", " M", "x", None]
     assert apply(spark, gender, genders) == [
