@@ -93,13 +93,15 @@ def delete_accounts(spark: SparkSession, deletes_path: str, targets: Entities) -
     """Apply a file of account ids to the three tables and their exports.
 
     Each new table is computed from the accounts as they were. The number of jobs does not
-    depend on the number of ids.
+    depend on the number of ids. The keys to remove are written first: Spark then knows their
+    size, and a short list is broadcast instead of shuffling the tables for it.
     """
     deletes = materialize(sources.read_deletes(spark, deletes_path), "deletes")
     accounts, customers, transactions = (spark.table(t.table) for t in targets)
+    keys = materialize(changes.removal_keys(accounts, deletes), "removal_keys")
     left = Entities(
-        changes.delete_accounts(accounts, deletes),
-        changes.delete_customers(accounts, customers, deletes),
+        changes.remove_accounts(accounts, keys),
+        changes.remove_customers(customers, keys),
         changes.delete_transactions(transactions, deletes),
     )
     return _replace(left, targets)
