@@ -2,8 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from __spark_entry__ import queries as all_queries
 from tellerchecks import compare
+from tellerchecks.oracle import oracle_sql
+from tellerchecks.registry import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = queries()
@@ -16,6 +19,7 @@ def con():
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == oracle_sql().keys()
+    assert QUERIES.keys() <= all_queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
