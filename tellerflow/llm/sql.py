@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 _WORDS = (
-    "list_filter(string_split_regex({text}, '[ \\t\\n\\x0B\\f\\r]+'), w -> w <> '')"
+    "list_filter(string_split_regex({text}, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
 )
 _FOLD = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -14,9 +14,9 @@ def _embedding_links() -> str:
         WITH RECURSIVE v AS (
           SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
         ok AS (
-          SELECT vec_id, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS norm FROM v
+          SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
           WHERE e IS NOT NULL AND len(e) > 0
-            AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         link AS (
           SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id
           WHERE a.norm > 0 AND b.norm > 0 AND len(a.e) = len(b.e)
@@ -39,7 +39,7 @@ def _document_links() -> str:
         s AS (
           SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
             WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
             END) AS s FROM w),
         e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
         link AS (
@@ -70,8 +70,8 @@ def _repeats() -> str:
         out AS (SELECT doc_id, list(p) AS p FROM gone GROUP BY doc_id),
         kept AS (
           SELECT w.doc_id, len(w) AS n, CASE WHEN out.p IS NULL THEN w ELSE
-            list_transform(list_filter(range(1, len(w) + 1), i -> NOT list_contains(out.p, i)),
-              i -> w[i]) END AS k
+            list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(out.p, i)),
+              lambda i: w[i]) END AS k
           FROM w LEFT JOIN out USING (doc_id))
         SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(k) AS BIGINT) AS n_removed,
           sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept"""
