@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,6 +126,56 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _across(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """One link for every two components that two blocks of a bucket connect."""
+    sides = [pdf[pdf["left"]], pdf[pdf["right"]]]
+    names = [s["component_id"].to_numpy() for s in sides]
+    found = [np.concatenate(s["shingles"].to_list() or [np.empty(0, np.int64)]) for s in sides]
+    rows = [np.repeat(np.arange(len(s)), s["shingles"].map(len)) for s in sides]
+    shared = np.intersect1d(np.unique(found[0]), np.unique(found[1]), assume_unique=True)
+    common = np.zeros((len(sides[0]), len(sides[1])), np.float32)
+    for at in range(0, len(shared), 4096):
+        part, marks = shared[at : at + 4096], []
+        for side, values, row in zip(sides, found, rows, strict=True):
+            column = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[column] == values
+            mark = np.zeros((len(side), len(part)), np.float32)
+            mark[row[hit], column[hit]] = 1
+            marks.append(mark)
+        common += marks[0] @ marks[1].T
+    n = [s["shingles"].map(len).to_numpy(np.int64) for s in sides]
+    alike = _alike(n[0][:, None], n[1][None, :], common.astype(np.int64), percent)
+    a, b = np.nonzero(alike & (names[0][:, None] != names[1][None, :]))
+    return pd.DataFrame({"a": names[0][a], "b": names[1][b]}).drop_duplicates()
+
+
+def _other_links(rest: DataFrame, sets: DataFrame, percent: int, block: int = 512) -> DataFrame:
+    """Links between members of a bucket that are still in different components.
+
+    A bucket is compared in pairs of blocks, a task each. A task reads the sets of two blocks and
+    returns links between components only, so no pairs of documents are produced.
+    """
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    sizes = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    placed = (
+        rest.join(sizes, "bucket")
+        .withColumn("mine", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(
+            "bucket", "doc_id", "component_id",
+            F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+            (F.col("mine") <= F.col("other")).alias("left"),
+            (F.col("mine") >= F.col("other")).alias("right"),
+        )
+    )
+    return (
+        placed.join(sets, "doc_id")
+        .groupBy("bucket", "low", "high")
+        .applyInPandas(lambda pdf: _across(pdf, percent), "a long, b long")
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 80,
@@ -141,8 +192,8 @@ def near_duplicates(
     at 0.80 with probability 5e-5, 21 bands of 6 one at 0.85 with 5e-5.
 
     Equal sets are represented by their smallest id. In a bucket each member is compared with the
-    smallest; only members that are then still in different components are compared with each
-    other, so a group of copies costs its size, not its square, and no link is lost.
+    smallest; only buckets whose members are then still in different components are compared
+    block by block, so a group of copies costs its size, not its square, and no link is lost.
 
     Texts that are null, empty or blank have no shingles and link with nothing. Rows without an id
     link with nothing; their component is null and they are kept. Rows that repeat an id are one
@@ -186,23 +237,10 @@ def near_duplicates(
         .filter("low < high")
         .select("bucket")
     )
-    rest = placed.join(torn, "bucket", "left_semi").select(
-        "bucket", "doc_id", "n", "pivot", "component_id"
-    )
-    rest = stored(rest, "rest")
-    other = rest.select(
-        "bucket", F.col("doc_id").alias("b"), F.col("n").alias("nb"),
-        F.col("component_id").alias("cb"),
-    )
-    open_pairs = (
-        rest.withColumnRenamed("doc_id", "a")
-        .join(other, "bucket")
-        .filter("component_id < cb AND a <> pivot AND b <> pivot")
-        .filter(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)
-        .select("a", "b")
-        .distinct()
+    rest = placed.join(torn, "bucket", "left_semi").filter("doc_id <> pivot").select(
+        "bucket", "doc_id", "component_id"
     )
-    more = stored(_verified(open_pairs, sets, percent), "links")
+    more = stored(_other_links(rest, sets, percent), "links")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
     groups = groups.withColumnRenamed("id", "doc_id")
