@@ -206,7 +206,7 @@ _QUERIES = {
         WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.Customer_ID = c.Customer_ID)""",
     "delete_transactions": "SELECT * FROM transactions_left",
     "delete_unmatched": """
-        SELECT DISTINCT CAST(Account_ID AS INT) AS Account_ID FROM listed
+        SELECT DISTINCT Account_ID FROM listed
         WHERE Account_ID NOT IN (SELECT Account_ID FROM accounts)""",
     "orphan_transactions": """
         SELECT * FROM transactions_left

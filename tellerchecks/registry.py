@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tellerflow.operators import audit, changes, clean, joins
 from tellerflow.plans import reports
@@ -34,19 +33,28 @@ def _tables(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
 def _banded(s: SparkSession, d: str, column: str, name: str, width: int) -> DataFrame:
     tables = _tables(s, d)
     accounts, customers, transactions = tables
-    active = joins.active_customers(accounts, transactions)
-    ends = joins.bounds(customers, active, {column: name})
-    bands = reports.band_table(ends, name, width, joins.MAX_BROADCAST_BANDS)
+    ends = joins.bounds(customers, joins.active_customers(accounts, transactions), {column: name})
     j = joins.account_customer_txn(*tables)
-    return joins.range_join(j, column, bands, f"min_{name}", f"max_{name}", width).select(
+    return reports.with_band(j, ends, column, name, width).select(
         "Account_ID", "Customer_ID", "churn", column, "Transaction_ID", f"{name}_range"
     )
 
 
-def _incremental(raw: DataFrame, is_new: str, cleaning: Callable[[DataFrame], DataFrame]):
-    """Load the rows that are not new, then append the new ones, each cleaned on its own."""
-    new = F.coalesce(F.expr(is_new), F.lit(False))
-    return changes.append(cleaning(raw.filter(~new)), cleaning(raw.filter(new)))
+def _year_2001(column: str) -> tuple[str, str]:
+    """Two complementary tests of a stored date; NULL is old."""
+    first, next_ = "TIMESTAMP_NTZ'2001-01-01'", "TIMESTAMP_NTZ'2002-01-01'"
+    return (
+        f"{column} < {first} OR {column} >= {next_} OR {column} IS NULL",
+        f"{column} >= {first} AND {column} < {next_}",
+    )
+
+
+def _incremental(raw: Callable[..., DataFrame], old: str, new: str, cleaning):
+    """Load the old rows, then append the new ones, each cleaned on its own.
+
+    Both sides test a stored column, so each scan skips row groups of the other side.
+    """
+    return lambda s, d: changes.append(cleaning(raw(s, d, old)), cleaning(raw(s, d, new)))
 
 
 def _read_and_clean() -> dict[str, Query]:
@@ -127,16 +135,14 @@ def _changes() -> dict[str, Query]:
         "orphan_transactions": lambda s, d: changes.orphan_transactions(
             _accounts(s, d), _transactions(s, d), roles.deletes(s, d)
         ),
-        "incremental_accounts": lambda s, d: _incremental(
-            roles.accounts_raw(s, d), "endswith(Open_Date, '/2001')", clean.clean_accounts
+        "incremental_accounts": _incremental(
+            roles.accounts_raw, *_year_2001("o_orderdate"), clean.clean_accounts
         ),
-        "incremental_customers": lambda s, d: _incremental(
-            roles.customers_raw(s, d), "Country = 'NATION_7'", clean.clean_customers
+        "incremental_customers": _incremental(
+            roles.customers_raw, "c_nationkey <> 7", "c_nationkey = 7", clean.clean_customers
         ),
-        "incremental_transactions": lambda s, d: _incremental(
-            roles.transactions_raw(s, d),
-            "endswith(Transaction_Date, '/2001')",
-            clean.clean_transactions,
+        "incremental_transactions": _incremental(
+            roles.transactions_raw, *_year_2001("l_shipdate"), clean.clean_transactions
         ),
     }
 

@@ -3,6 +3,7 @@ from tellerflow.functions.bands import (
     BALANCE_BANDS,
     band_id,
     band_label,
+    bandable,
     first_band_id,
     inside_band,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "BALANCE_BANDS",
     "band_id",
     "band_label",
+    "bandable",
     "first_band_id",
     "gender",
     "inside_band",

@@ -17,20 +17,29 @@ BALANCE_BANDS = """
          ELSE 'Above 10000' END"""
 AGE_BANDS = """
     CASE WHEN Age BETWEEN 18 AND 30 THEN '18-30'
-         WHEN Age BETWEEN 31 AND 40 THEN '31-40'
-         WHEN Age BETWEEN 41 AND 50 THEN '41-50'
-         WHEN Age BETWEEN 51 AND 60 THEN '51-60'
+         WHEN Age > 30 AND Age <= 40 THEN '31-40'
+         WHEN Age > 40 AND Age <= 50 THEN '41-50'
+         WHEN Age > 50 AND Age <= 60 THEN '51-60'
          ELSE '61+' END"""
 
 
+# A band's ends must be 64-bit integers.
+LARGEST = 9e18
+
+
+def bandable(x: Column) -> Column:
+    """``x``, or NULL where it is not finite or too large for a band."""
+    return F.when(F.abs(x.cast("double")) < LARGEST, x)
+
+
 def band_id(x: Column, width: int) -> Column:
-    """The only band that can hold ``x``."""
-    return F.floor(x.cast("double") / width)
+    """The only band that can hold ``x``; NULL where ``x`` is not ``bandable``."""
+    return F.floor(bandable(x).cast("double") / width)
 
 
 def inside_band(x: Column, width: int) -> Column:
-    """False where ``x`` lies in the gap above its band, NULL for NULL."""
-    return x.cast("double") <= (band_id(x, width) + 1) * width - 1
+    """False where ``x`` lies in the gap above its band, NULL where there is no band."""
+    return bandable(x).cast("double") <= (band_id(x, width) + 1) * width - 1
 
 
 def first_band_id(x: Column, width: int, single: bool = False) -> Column:
@@ -40,7 +49,7 @@ def first_band_id(x: Column, width: int, single: bool = False) -> Column:
     unless the value is a multiple of ``width``. ``single`` divides in 32-bit floats, as for a
     32-bit column.
     """
-    ratio = x.cast("double") / width
+    ratio = bandable(x).cast("double") / width
     return (ratio.cast("float") if single else ratio).cast("long")
 
 

@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerflow.functions import band_id
-
-MAX_BROADCAST_BANDS = 100_000
+from tellerflow.functions import band_id, bandable
 
 
 def account_customer_txn(
@@ -30,22 +28,21 @@ def activity(accounts: DataFrame, transactions: DataFrame, *by: str) -> DataFram
     """J counted per customer and ``by``: ``Customer_ID, *by, txn_count, churned_txn_count``.
 
     ``accounts`` carries ``churn`` as 0/1; ``by`` names account or transaction columns. Inner
-    joins multiply row counts, so each side is first counted by its join key and the counts are
-    multiplied. An account or a customer that holds most of the rows shrinks to a few rows
-    before anything is shuffled for it.
+    joins multiply row counts, so the transactions are first counted by account and each account
+    carries its count. An account or a customer that holds most of the rows shrinks to a few rows
+    before anything is shuffled for it. The accounts, whose key is nearly unique, are shuffled
+    once, for the join.
     """
     account_by = [c for c in by if c in accounts.columns]
     txn_by = [c for c in by if c not in account_by]
     per_account = transactions.groupBy("Account_ID", *txn_by).agg(F.count("*").alias("txns"))
-    links = accounts.groupBy("Account_ID", "Customer_ID", *account_by).agg(
-        F.count("*").alias("links"), F.sum("churn").alias("churned_links")
-    )
     return (
-        per_account.join(links, "Account_ID")
+        accounts.select("Account_ID", "Customer_ID", "churn", *account_by)
+        .join(per_account, "Account_ID")
         .groupBy("Customer_ID", *by)
         .agg(
-            F.sum(F.col("txns") * F.col("links")).alias("txn_count"),
-            F.sum(F.col("txns") * F.col("churned_links")).alias("churned_txn_count"),
+            F.sum("txns").alias("txn_count"),
+            F.sum(F.col("txns") * F.col("churn")).alias("churned_txn_count"),
         )
     )
 
@@ -87,10 +84,10 @@ def by_churn(counts: DataFrame, count_name: str) -> DataFrame:
 def active_customers(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
     """Distinct ``Customer_ID`` of the accounts that have transactions.
 
-    Existence needs no row counts: both sides are reduced to one row per key first.
+    Existence needs no row counts: the transactions are reduced to one row per account first.
     """
     used = transactions.select("Account_ID").distinct()
-    links = accounts.select("Account_ID", "Customer_ID").distinct()
+    links = accounts.select("Account_ID", "Customer_ID")
     return links.join(used, "Account_ID", "left_semi").select("Customer_ID").distinct()
 
 
@@ -98,10 +95,11 @@ def bounds(customers: DataFrame, active: DataFrame, columns: dict[str, str]) ->
     """One row with ``min_<name>, max_<name>`` of each column over J: ``{column: name}``.
 
     Repeated rows do not move a bound, so each customer is reduced to its own bounds first.
+    Values that are not ``bandable`` are left out.
     """
     names = [(end, name) for name in columns.values() for end in ("min", "max")]
     pick = {"min": F.min, "max": F.max}
-    own = [pick[e](c).alias(f"{e}_{n}") for c, n in columns.items() for e in ("min", "max")]
+    own = [pick[e](bandable(F.col(c))).alias(f"{e}_{n}") for c, n in columns.items() for e in ("min", "max")]
     return (
         customers.groupBy("Customer_ID")
         .agg(*own)
@@ -116,11 +114,10 @@ def range_join(
     """Left join on ``low <= column <= high`` with a table of bands of one width.
 
     A value can only fall into the band of its own id, so the id is an equality key next to
-    the range test and the join is a hash join, not a nested loop. ``bands`` is broadcast:
-    build it with ``band_table(..., limit=MAX_BROADCAST_BANDS)``, which stops the job beyond
-    that many bands. ``plans.reports`` computes the same labels without a table, for any number.
+    the range test and Spark plans a hash or merge join, whatever the number of bands.
+    ``plans.reports`` computes the same labels without a table.
     """
     x = F.col(column)
     ids = bands.withColumn("_band", band_id(F.col(low), width))
     in_band = (band_id(x, width) == F.col("_band")) & x.between(F.col(low), F.col(high))
-    return df.join(F.broadcast(ids), in_band, "left").drop("_band", low, high)
+    return df.join(ids, in_band, "left").drop("_band", low, high)

@@ -10,7 +10,7 @@ from tellerflow import sources
 from tellerflow.operators import audit, changes, clean
 from tellerflow.operators.joins import activity, bounds
 from tellerflow.plans import reports
-from tellerflow.sinks import Target, add, materialize, replace
+from tellerflow.sinks import Target, add, materialize, repair, replace, scratch
 
 
 class Entities(NamedTuple):
@@ -82,29 +82,64 @@ def incremental_load(spark: SparkSession, paths: Entities, targets: Entities) ->
     return Entities(*(add(df, target) for df, target in zip(cleaned, targets, strict=True)))
 
 
-def update_customers(spark: SparkSession, updates_path: str, target: Target) -> DataFrame:
-    """Apply a file of phone number updates to the customer table and its exports."""
+def _current(spark: SparkSession, target: Target, frame: DataFrame | None) -> DataFrame:
+    """The frame the caller gave, else the target's table as the last whole run left it."""
+    if frame is not None:
+        return frame
+    if target.table is None:
+        raise ValueError("give the input as a frame, or a target with a table")
+    repair(spark, [target.table])
+    return spark.table(target.table)
+
+
+def update_customers(
+    spark: SparkSession, updates_path: str, target: Target, customers: DataFrame | None = None
+) -> DataFrame:
+    """Apply a file of phone number updates to the customers and their exports.
+
+    The input is ``customers``, from any source, or the target's table.
+    """
     updates = sources.read_updates(spark, updates_path)
-    updated = changes.update_phone_numbers(spark.table(target.table), updates)
+    updated = changes.update_phone_numbers(_current(spark, target, customers), updates)
     return replace([(updated, target)])[0]
 
 
-def delete_accounts(spark: SparkSession, deletes_path: str, targets: Entities) -> Entities:
+class Deleted(NamedTuple):
+    """What the delete job left, and the listed ids that no account had."""
+
+    left: Entities
+    unmatched: DataFrame
+
+
+def delete_accounts(
+    spark: SparkSession,
+    deletes_path: str,
+    targets: Entities,
+    tables: Entities = Entities(None, None, None),
+) -> Deleted:
     """Apply a file of account ids to the three tables and their exports.
 
-    Each new table is computed from the accounts as they were. The number of jobs does not
-    depend on the number of ids. The keys to remove are written first: Spark then knows their
-    size, and a short list is broadcast instead of shuffling the tables for it.
+    The inputs are ``tables``, from any source, or the targets' tables. Each new table is
+    computed from the accounts as they were. The number of jobs does not depend on the number of
+    ids. The keys to remove are written first: Spark then knows their size, and a short list is
+    broadcast instead of shuffling the tables for it.
+
+    What goes follows from the accounts, so they are replaced last: a job that was stopped
+    anywhere before finds the same keys when it is run again with the same list.
     """
-    deletes = materialize(sources.read_deletes(spark, deletes_path), "deletes")
-    accounts, customers, transactions = (spark.table(t.table) for t in targets)
-    keys = materialize(changes.removal_keys(accounts, deletes), "removal_keys")
-    left = Entities(
-        changes.remove_accounts(accounts, keys),
-        changes.remove_customers(customers, keys),
-        changes.delete_transactions(transactions, deletes),
-    )
-    return _replace(left, targets)
+    with scratch(spark) as keep:
+        deletes = keep(sources.read_deletes(spark, deletes_path), "deletes")
+        accounts, customers, transactions = map(_current, [spark] * 3, targets, tables)
+        keys = keep(changes.removal_keys(accounts, deletes), "removal_keys")
+        unmatched = materialize(changes.delete_unmatched(accounts, deletes), "delete_unmatched")
+        written = replace(
+            [
+                (changes.delete_transactions(transactions, deletes), targets.transactions),
+                (changes.remove_customers(customers, keys), targets.customers),
+                (changes.remove_accounts(accounts, keys), targets.accounts),
+            ]
+        )
+    return Deleted(Entities(*reversed(written)), unmatched)
 
 
 def analyse(spark: SparkSession, tables: Entities) -> dict[str, DataFrame]:

@@ -6,7 +6,7 @@ The first five read ``Churn`` as text; the others take accounts after ``encode_c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerflow.functions import (
@@ -146,13 +146,34 @@ def tenure_report(act: DataFrame, customers: DataFrame) -> DataFrame:
     return by_churn(counts, "count").orderBy("tenure")
 
 
+def _label(band: Column, inside: Column, first: Column, width: int) -> Column:
+    return F.when(inside & (band >= first), band_label(band, width))
+
+
+def with_band(
+    df: DataFrame, ends: DataFrame, column: str, name: str, width: int
+) -> DataFrame:
+    """``df`` with the label of the generated band of ``column`` as ``<name>_range``.
+
+    Only the first band depends on other rows; it is a scalar from ``ends``, the bounds of the
+    column, so ``df`` is neither joined nor shuffled for its labels.
+    """
+    low = F.col(f"min_{name}")
+    single = dict(ends.dtypes)[f"min_{name}"] == "float"
+    first = ends.select(first_band_id(low, width, single)).scalar()
+    x = F.col(column)
+    return df.withColumn(
+        f"{name}_range", _label(band_id(x, width), inside_band(x, width), first, width)
+    )
+
+
 def band_report(
     act: DataFrame, customers: DataFrame, column: str, width: int, label: str
 ) -> DataFrame:
     """``label, churn_count, total_customers`` per generated band of a customer column.
 
-    Both numbers count transactions. Values in a gap, unknown values and the band cut off at a
-    negative smallest value form the group with a NULL label. Sorted by the label's text.
+    Both numbers count transactions. Values in a gap, unknown, non-finite and huge values and the
+    band cut off at a negative smallest value form the group with a NULL label. Sorted by the label's text.
 
     The band of a row follows from its value, so no band table is joined. Only the id of the
     first band depends on all rows: it is the smallest over the counted groups. The test on
@@ -173,8 +194,7 @@ def band_report(
     )
     occurring = (F.col("txn_count") > 0) & (F.col("churned_txn_count") >= 0)
     first = counts.filter(occurring).agg(F.min("_start")).scalar()
-    band = F.col("_band")
-    labelled = F.when(F.col("_inside") & (band >= first), band_label(band, width))
+    labelled = _label(F.col("_band"), F.col("_inside"), first, width)
     return (
         counts.groupBy(labelled.alias(label))
         .agg(
@@ -241,20 +261,35 @@ def credit_score_bounds(
     return bounds(customers, active_customers(accounts, transactions), CREDIT_SCORE)
 
 
-def band_table(ends: DataFrame, name: str, width: int, limit: int | None = None) -> DataFrame:
+#: Bands made by one row of the first step of ``band_table``.
+BANDS_PER_BLOCK = 4096
+
+
+def band_table(ends: DataFrame, name: str, width: int) -> DataFrame:
     """``min_<name>, max_<name>, <name>_range`` for the bands between the bounds, plus one.
 
-    ``limit`` makes the job fail when there are more bands, for callers that broadcast them.
+    Made in two steps, blocks of ids and then the ids of each block, with the blocks dealt out
+    between them: no task or row holds all ids.
     """
     single = dict(ends.dtypes)[f"min_{name}"] == "float"
     first, last = (first_band_id(F.col(f"{end}_{name}"), width, single) for end in ("min", "max"))
-    if limit is not None:
-        too_many = F.raise_error(F.lit(f"more than {limit} bands of width {width}"))
-        last = F.when(last - first + 2 > limit, too_many.cast("long")).otherwise(last)
-    return ends.select(F.explode(F.sequence(first, last + 1)).alias("id")).select(
-        (F.col("id") * width).alias(f"min_{name}"),
-        (F.col("id") * width + (width - 1)).alias(f"max_{name}"),
-        band_label(F.col("id"), width).alias(f"{name}_range"),
+    span = ends.select(first.alias("first"), (last + 1).alias("last"))
+    blocks = F.sequence(
+        F.floor(F.col("first") / BANDS_PER_BLOCK), F.floor(F.col("last") / BANDS_PER_BLOCK)
+    )
+    start = F.col("block") * BANDS_PER_BLOCK
+    ids = F.sequence(
+        F.greatest("first", start), F.least("last", start + (BANDS_PER_BLOCK - 1))
+    )
+    return (
+        span.select("first", "last", F.explode(blocks).alias("block"))
+        .repartition("block")
+        .select(F.explode(ids).alias("id"))
+        .select(
+            (F.col("id") * width).alias(f"min_{name}"),
+            (F.col("id") * width + (width - 1)).alias(f"max_{name}"),
+            band_label(F.col("id"), width).alias(f"{name}_range"),
+        )
     )
 
 

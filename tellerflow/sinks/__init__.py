@@ -1,8 +1,8 @@
-from tellerflow.sinks.catalog import PublishError, publish_staged, save_table
+from tellerflow.sinks.catalog import PublishError, publish_staged, repair, save_table
 from tellerflow.sinks.files import write_csv
 from tellerflow.sinks.jdbc import write_table
 from tellerflow.sinks.targets import Target, add, replace
-from tellerflow.sinks.shared import materialize
+from tellerflow.sinks.shared import materialize, scratch
 
 __all__ = [
     "PublishError",
@@ -10,8 +10,10 @@ __all__ = [
     "add",
     "materialize",
     "publish_staged",
+    "repair",
     "replace",
     "save_table",
+    "scratch",
     "write_csv",
     "write_table",
 ]

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 class PublishError(RuntimeError):
-    """A staged table was not published; the live table is unchanged."""
+    """Staged tables were not all published; the message names those that were and were not."""
 
 
 def save_table(df: DataFrame, table: str, mode: str = "overwrite") -> None:
@@ -41,25 +41,43 @@ def _swap(spark: SparkSession, table: str) -> None:
         _rename(spark, table, former)
     try:
         _rename(spark, staged, table)
-    except Exception as error:
+    except Exception:
         if live:
             _rename(spark, former, table)
-        raise PublishError(f"{staged} could not replace {table}") from error
+        raise
     spark.sql(f"DROP TABLE IF EXISTS {former}")
 
 
-def publish_staged(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:
-    """Replace tables by frames that may read those very tables.
+def repair(spark: SparkSession, tables: Iterable[str]) -> None:
+    """Give a table that is missing while its former contents exist those contents back.
 
-    Every frame is written and checked under a staging name before the first table is touched,
-    so all of them see the old contents. A run that was stopped half-way is repaired first: a
-    table missing while its former contents exist gets them back.
+    That is what a run leaves that was stopped between the two renames of a swap.
     """
-    for table in frames:
+    for table in tables:
         former = f"{table}__former"
         if not spark.catalog.tableExists(table) and spark.catalog.tableExists(former):
             _rename(spark, former, table)
+
+
+def publish_staged(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:
+    """Replace tables by frames that may read those very tables.
+
+    Every frame is written and checked under a staging name before the first table is touched,
+    so all of them see the old contents. Tables are then swapped one by one in the order of
+    ``frames``, which are not one transaction: a run that is stopped leaves the first ones new
+    and the others old. A job that can be repeated puts the table it computes from last, calls
+    ``repair`` before it reads, and gives the same result when run again.
+    """
+    repair(spark, frames)
     for table, df in frames.items():
         _stage(df, table)
+    done: list[str] = []
     for table in frames:
-        _swap(spark, table)
+        try:
+            _swap(spark, table)
+        except Exception as error:
+            left = [t for t in frames if t not in done]
+            raise PublishError(
+                f"{table}__staged could not replace {table}; published: {done}, not: {left}"
+            ) from error
+        done.append(table)

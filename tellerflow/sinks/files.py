@@ -4,16 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SINGLE_FILE_ROWS = 1_000_000
 
-
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
-    """Write a CSV directory; ``mode`` is "overwrite" or "append".
-
-    ``single_file`` asks for one file per call, for small exports. It is granted up to
-    ``SINGLE_FILE_ROWS`` rows; a larger frame is written whole in several files, since one file
-    would be written by one task.
-    """
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        df = df.repartition(1)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write a CSV directory, a file per partition; ``mode`` is "overwrite" or "append"."""
     df.write.mode(mode).option("header", "true").csv(path)

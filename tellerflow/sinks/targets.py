@@ -22,15 +22,20 @@ class Target:
     connection: Mapping[str, str] | None = None
     jdbc_table: str | None = None
     connections: int | None = None
-    single_file: bool = False
+
+    def __post_init__(self) -> None:
+        if (self.connection is None) != (self.jdbc_table is None):
+            raise ValueError("connection and jdbc_table go together")
+        if self.table is None and self.csv is None and self.jdbc_table is None:
+            raise ValueError("a target needs a table, a CSV path or a JDBC table")
 
 
 def _write_exports(df: DataFrame, target: Target, mode: str) -> None:
     """The sinks besides the catalog."""
-    if target.connection is not None and target.jdbc_table is not None:
+    if target.jdbc_table is not None:
         write_table(df, target.connection, target.jdbc_table, mode, target.connections)
     if target.csv is not None:
-        write_csv(df, target.csv, mode, target.single_file)
+        write_csv(df, target.csv, mode)
 
 
 def replace(frames: Sequence[tuple[DataFrame, Target]]) -> list[DataFrame]:
@@ -38,7 +43,7 @@ def replace(frames: Sequence[tuple[DataFrame, Target]]) -> list[DataFrame]:
 
     All catalog tables are staged before the first is swapped in, so the frames may read the
     tables they replace. A frame is computed once: the other sinks are fed from its table, or
-    from the shared folder if it has none and goes to several.
+    from the shared folder if it has none.
     """
     tables = {target.table: df for df, target in frames if target.table is not None}
     if tables:
@@ -47,7 +52,7 @@ def replace(frames: Sequence[tuple[DataFrame, Target]]) -> list[DataFrame]:
     for df, target in frames:
         if target.table is not None:
             df = df.sparkSession.table(target.table)
-        elif target.csv is not None and target.jdbc_table is not None:
+        else:
             df = materialize(df, "replace")
         _write_exports(df, target, "overwrite")
         written.append(df)

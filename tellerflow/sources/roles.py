@@ -2,7 +2,7 @@
 
 Customers become bank customers, orders become accounts, order lines become transactions. The
 values are made dirty on purpose: mixed spellings, currency text, impossible dates, NULLs and
-whole-row copies.
+whole-row copies. ``where`` tests stored columns, so that it reaches the scan.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ TABLES = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, where: str = "true") -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet").filter(where)
 
 
-def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers_raw(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """Customers with their nation; every 50th id occurs twice."""
-    joined = _table(spark, sf_dir, "customer").join(
+    joined = _table(spark, sf_dir, "customer", where).join(
         _table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")
     )
     return joined.selectExpr(
@@ -52,8 +52,8 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("copy")
 
 
-def accounts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").selectExpr(
+def accounts_raw(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    return _table(spark, sf_dir, "orders", where).selectExpr(
         "o_orderkey AS Account_ID",
         "CASE WHEN o_orderkey % 101 <> 0 THEN CAST(o_custkey AS INT) END AS Customer_ID",
         "o_orderpriority AS Account_Type",
@@ -68,8 +68,8 @@ def accounts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "lineitem").selectExpr(
+def transactions_raw(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    return _table(spark, sf_dir, "lineitem", where).selectExpr(
         "l_orderkey * 10 + l_linenumber AS Transaction_ID",
         "l_orderkey AS Account_ID",
         "CASE l_returnflag WHEN 'A' THEN 'Cash-In' WHEN 'N' THEN 'Cash In' "
@@ -92,7 +92,7 @@ def deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The accounts of the dearest orders, each listed twice, an unknown id and a NULL."""
     orders = _table(spark, sf_dir, "orders")
     listed = orders.filter("o_totalprice >= 490000").selectExpr(
-        "explode(array(CAST(o_orderkey AS INT), CAST(o_orderkey AS INT))) AS Account_ID"
+        "explode(array(o_orderkey, o_orderkey)) AS Account_ID"
     )
-    others = spark.sql("SELECT * FROM VALUES (-1), (CAST(NULL AS INT)) AS t(Account_ID)")
+    others = spark.sql("SELECT * FROM VALUES (-1L), (CAST(NULL AS LONG)) AS t(Account_ID)")
     return listed.union(others)

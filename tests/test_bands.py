@@ -1,5 +1,4 @@
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import helpers
@@ -86,7 +85,7 @@ def test_range_join_and_arithmetic_agree(spark, rows, case):
     assert rows(report) == want
 
     ends = reports.salary_bounds(accounts, customers, transactions)
-    table = reports.band_table(ends, "salary", 1000, joins.MAX_BROADCAST_BANDS)
+    table = reports.band_table(ends, "salary", 1000)
     assert rows(table.select("min_salary", "max_salary")) == sorted(bands, key=repr)
     joined = joins.range_join(
         joins.account_customer_txn(accounts, customers, transactions),
@@ -102,11 +101,48 @@ def test_bounds_ignore_customers_without_transactions(spark, rows):
     assert rows(reports.salary_bounds(accounts, customers, used)) == [(20.0, 30.0)]
 
 
-def test_too_many_bands_to_broadcast(spark):
-    ends = spark.createDataFrame([(0.0, 1e7)], "min_salary float, max_salary float")
-    assert reports.band_table(ends, "salary", 1000).count() == 10002
-    with pytest.raises(PySparkException, match="more than 100 bands"):
-        reports.band_table(ends, "salary", 1000, limit=100).collect()
+def test_age_between_two_limits(spark, rows):
+    people = helpers.customers(spark, {"Customer_ID": 1, "Gender": "Male"}).withColumn(
+        "Age", F.lit(30.5)
+    )
+    accounts = helpers.accounts(spark, {"Customer_ID": 1})
+    assert rows(reports.churn_by_age_gender(spark, accounts, people)) == [("31-40", "Male", "No", 1)]
+
+
+def test_band_table_is_made_by_several_tasks(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    ends = spark.createDataFrame([(-5e3, 5e7)], "min_salary float, max_salary float")
+    table = reports.band_table(ends, "salary", 1000)
+    ids = table.select(F.col("min_salary") / 1000, F.spark_partition_id().alias("task"))
+    assert table.count() == 50007 and table.distinct().count() == 50007
+    assert ids.select("task").distinct().count() > 1
+    assert table.agg(F.min("min_salary"), F.max("max_salary")).first() == (-5000, 50001999)
+
+
+NOT_BANDABLE = [float("nan"), float("inf"), float("-inf"), 1e19, -1e19, 3e38]
+
+
+def test_values_without_a_band(spark, rows):
+    """Non-finite and huge values have the NULL label; bounds and bands come from the others."""
+    accounts, customers, transactions = tables(spark, [1500.0, *NOT_BANDABLE, 2500.0, None])
+    found = reports.churn_by_salary_range(accounts, customers, transactions)
+    n = len(NOT_BANDABLE)
+    assert [(r[0], r.total_customers) for r in found.collect()] == [
+        (None, sum(range(2, n + 2)) + n + 3), ("1000-1999", 1), ("2000-2999", n + 2)
+    ]
+    assert rows(reports.salary_bounds(accounts, customers, transactions)) == [(1500.0, 2500.0)]
+    assert reports.salary_ranges(accounts, customers, transactions).count() == 3
+
+
+def test_labels_without_a_table_have_no_limit(spark):
+    tables_ = tables(spark, [3e12, 10.0])
+    accounts, customers, transactions = tables_
+    ends = reports.salary_bounds(*tables_)
+    j = joins.account_customer_txn(*tables_)
+    labelled = reports.with_band(j, ends, "Estimated_Salary", "salary", 1000)
+    low = int(helpers.column(customers.filter("Estimated_Salary > 100"), "Estimated_Salary")[0])
+    low -= low % 1000
+    assert set(helpers.column(labelled, "salary_range")) == {"0-999", f"{low}-{low + 999}"}
 
 
 def test_report_totals_are_the_rows_of_the_join(spark):

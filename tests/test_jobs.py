@@ -7,6 +7,7 @@ from tellerflow import sinks
 from tellerflow.operators import clean
 from tellerflow.plans import jobs, reports
 from tellerflow.plans.jobs import Entities
+from tellerflow.sinks import catalog
 
 
 def write_batch(folder, accounts, customers, transactions):
@@ -118,6 +119,68 @@ def test_delete(spark, loaded, tmp_path, rows):
     assert [csv_rows(spark, t) for t in targets] == [1, 1, 2]
 
 
+def test_delete_returns_ids_that_no_account_had(spark, loaded, tmp_path, rows):
+    """Ids above 2^31 are ids like others; the frame stays readable after the job."""
+    _, targets = loaded
+    big = 3_000_000_000
+    more = write_batch(tmp_path / "big", [{"Account_ID": big, "Customer_ID": 5}],
+                       [{"Customer_ID": 5}], [{"Account_ID": big}])
+    jobs.incremental_load(spark, more, targets)
+    path = helpers.write_csv_file(
+        tmp_path / "deletes.csv", ["Account_ID"], [[big], [99], [big + 1]]
+    )
+    done = jobs.delete_accounts(spark, path, targets)
+    assert sorted(helpers.column(done.unmatched, "Account_ID")) == [99, big + 1]
+    assert rows(done.left.accounts.select("Account_ID")) == [(10,), (11,), (20,)]
+    assert [t.count() for t in tables(spark, targets)] == [3, 2, 4]
+
+
+def test_update_and_delete_of_given_frames(spark, loaded, tmp_path, rows):
+    """Inputs need not be the tables of the targets, and targets need no table."""
+    _, targets = loaded
+    frames = tables(spark, targets)
+    out = Entities(*(sinks.Target(csv=str(tmp_path / f"given_{n}")) for n in "act"))
+    path = helpers.write_csv_file(tmp_path / "deletes.csv", ["Account_ID"], [[10]])
+    done = jobs.delete_accounts(spark, path, out, frames)
+    assert [csv_rows(spark, t) for t in out] == [1, 1, 2]
+    assert [df.count() for df in done.left] == [1, 1, 2]
+    assert [t.count() for t in tables(spark, targets)] == [3, 2, 4]
+    updates = helpers.write_csv_file(
+        tmp_path / "updates.csv",
+        ["UCustomer_ID", "Old_Phone_Number", "New_Phone_Number"], [[1, "01", "91"]],
+    )
+    updated = jobs.update_customers(spark, updates, out.customers, frames.customers)
+    assert set(helpers.column(updated, "Phone_Number")) == {"91", "02"}
+    with pytest.raises(ValueError, match="frame"):
+        jobs.update_customers(spark, updates, out.customers)
+
+
+@pytest.mark.parametrize("renames", range(6))
+def test_stopped_delete_is_completed_by_the_next_run(
+    spark, loaded, tmp_path, rows, monkeypatch, renames
+):
+    """Stopped before each rename of the three swaps, without a chance to put anything back."""
+    _, targets = loaded
+    path = helpers.write_csv_file(tmp_path / "deletes.csv", ["Account_ID"], [[10]])
+    rename, left = catalog._rename, [renames]
+
+    def stop(spark, old, new):
+        if not left[0]:
+            raise RuntimeError("stopped")
+        left[0] -= 1
+        rename(spark, old, new)
+
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "_rename", stop)
+        with pytest.raises(sinks.PublishError, match="not: "):
+            jobs.delete_accounts(spark, path, targets)
+    jobs.delete_accounts(spark, path, targets)
+    accounts, customers, transactions = tables(spark, targets)
+    assert rows(accounts.select("Account_ID")) == [(20,)]
+    assert rows(customers.select("Customer_ID")) == [(2,)]
+    assert rows(transactions.select("Account_ID")) == [(11,), (20,)]
+
+
 def test_audits(spark, loaded, rows):
     paths, _ = loaded
     raw = jobs.read_batch(spark, paths)

@@ -65,3 +65,32 @@ def test_mean_age_is_one_value_not_a_join(spark):
 
 def test_preview_is_a_top_n_per_task(spark):
     assert "TakeOrderedAndProject(limit=5" in plan_of(QUERIES["preview_accounts"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["churn_by_account_type", "churn_by_tenure", "salary_bounds"])
+def test_accounts_are_shuffled_once_before_their_join(spark, conf, name):
+    """One exchange between the accounts scan and the join on the account."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scan = next(i for i, x in enumerate(lines) if "o_orderkey" in x and "FileScan" in x)
+    depth, above = len(lines[scan].split("FileScan")[0]), []
+    for line in reversed(lines[:scan]):
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            depth = at
+            above.append(line.strip())
+            if "Join" in line:
+                break
+    assert sum("Exchange" in x for x in above) == 1, plan
+
+
+@pytest.mark.parametrize(
+    "name", ["incremental_accounts", "incremental_customers", "incremental_transactions"]
+)
+def test_both_sides_of_an_increment_are_pruned(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    key = {"incremental_accounts": "o_orderdate", "incremental_customers": "c_nationkey",
+           "incremental_transactions": "l_shipdate"}[name]
+    scans = [x for x in plan.splitlines() if "FileScan" in x and key in x.split("PushedFilters")[0]]
+    assert len(scans) >= 2 and all(key in x.split("PushedFilters")[1] for x in scans), plan

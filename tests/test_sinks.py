@@ -1,3 +1,4 @@
+import os
 from pathlib import Path
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tellerflow import sinks
-from tellerflow.sinks import catalog, files, shared
+from tellerflow.sinks import catalog, shared
 
 
 def numbers(spark, *values):
@@ -36,18 +37,33 @@ def test_csv_sink_overwrite(spark, tmp_path):
 def test_csv_sink_append(spark, tmp_path, rows):
     path = str(tmp_path / "out")
     for batch in ((1, 2), (2, 3)):
-        sinks.write_csv(numbers(spark, *batch).repartition(2), path, "append", single_file=True)
-    assert len(parts(path)) == 2
+        sinks.write_csv(numbers(spark, *batch).repartition(2), path, "append")
+    assert len(parts(path)) == 4
     back = spark.read.option("header", "true").schema("k int, v string").csv(path)
     assert rows(back) == [(1, "n1"), (2, "n2"), (2, "n2"), (3, "n3")]
 
 
-def test_single_file_is_for_small_frames(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "SINGLE_FILE_ROWS", 5)
-    path = str(tmp_path / "out")
-    sinks.write_csv(spark.range(6).repartition(2), path, single_file=True)
-    assert len(parts(path)) == 2
-    assert spark.read.option("header", "true").csv(path).count() == 6
+@pytest.mark.parametrize(
+    "given", [{}, {"connection": {"url": "u"}}, {"jdbc_table": "j"}, {"csv": "c", "jdbc_table": "j"}]
+)
+def test_incomplete_target(given):
+    with pytest.raises(ValueError):
+        sinks.Target(**given)
+
+
+def test_shared_folder_of_one_machine_is_refused_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+    with pytest.raises(ValueError, match="do not share"):
+        shared.shared_folder(spark)
+
+
+def test_scratch_tables_go_with_the_job(spark, rows):
+    with sinks.scratch(spark) as keep:
+        df = keep(numbers(spark, 1, 2), "x")
+        assert rows(df) == [(1, "n1"), (2, "n2")]
+        path = df.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
 
 
 def test_table_overwrite(spark, table, rows):
@@ -121,7 +137,7 @@ def test_failing_rename_puts_the_table_back(spark, table, rows, monkeypatch):
         rename(spark, old, new)
 
     monkeypatch.setattr(catalog, "_rename", refuse)
-    with pytest.raises(sinks.PublishError, match="could not replace"):
+    with pytest.raises(sinks.PublishError, match="could not replace .*published: \\[\\], not"):
         sinks.publish_staged(spark, {table: numbers(spark, 2)})
     assert rows(spark.table(table)) == [(1, "n1")]
 
