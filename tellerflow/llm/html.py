@@ -103,7 +103,7 @@ def tokens(page: str | None) -> list[Token]:
             if words or text:
                 off = any(s[1] for s in stack)
                 near = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
-                out.append(Token(("-" if off else "+") + near, words, text, inside=article > 0))
+                out.append(Token(("-" if off else "+") + near, words, text, inside=article > 0 and not off))
             continue
         tag = tag.lower()
         if m.group("end"):
@@ -135,12 +135,18 @@ def tokens(page: str | None) -> list[Token]:
             out.append(Token("+br", 0, " ", inside=article > 0))
             continue
         off = any(s[1] for s in stack)
-        out.append(Token(("-" if off else "") + tag, block=tag in BLOCKS, inside=article > 0))
+        out.append(
+            Token(("-" if off else "") + tag, block=tag in BLOCKS, inside=article > 0 and not off)
+        )
     return out
 
 
 def main_text(page: str | None, weights: Weights) -> str:
-    """Blocks of the best region, joined by an empty line; empty if no region scores above 0."""
+    """Blocks of the best region, joined by an empty line; empty if no region scores above 0.
+
+    Asides, forms and the like inside the region are left out of the text. They count against it,
+    so an end of the article that is shorter than the aside before it is cut off.
+    """
     found = tokens(page)
     if not found:
         return ""
@@ -169,8 +175,8 @@ def fit(
 ) -> Weights:
     """Weights from at most about ``sample`` labelled pages, chosen by a hash of the row.
 
-    A page that marks its article (``<article>`` or ``<main>``) labels its own words and tags: a
-    kind's weight is the smoothed log odds of lying inside, within -1 and 1 for words and at most
+    A page that marks its article (``<article>`` or ``<main>``) labels its own words and tags,
+    those of asides, forms and the like within it as outside: a kind's weight is the smoothed log odds of lying inside, within -1 and 1 for words and -1 and
     -0.05 for tags. Spark counts kinds; the number of kinds is bounded by that of element names
     times two. Without labelled pages the weights are those of unknown kinds.
     """
@@ -214,7 +220,7 @@ def fit(
         for r in rows:
             odds = np.log((r.i + smoothing) / (n_in + smoothing)) - np.log(
                 (r.o + smoothing) / (n_out + smoothing))
-            into[r.kind] = float(np.clip(odds, -1, 1)) if is_word else float(min(odds, -0.05))
+            into[r.kind] = float(np.clip(odds, -1, 1 if is_word else -0.05))
     return weights
 
 

@@ -102,11 +102,11 @@ def template_verdicts(
                             (F.col("level") + 1).alias("level"),
                             F.col("labels").alias("parent_labels"), F.col("bad").alias("parent_bad"))
     overall = branches.filter("level = 0").agg(
-        (F.sum("bad") / F.sum("labels")).alias("overall"))
-    rate = F.col("parent_bad") / F.col("parent_labels")
-    error = F.sqrt(rate * (1 - rate) / F.col("labels"))
+        F.try_divide(F.sum("bad"), F.sum("labels")).alias("overall"))
+    rate = F.try_divide("parent_bad", "parent_labels")
+    error = F.sqrt(F.try_divide(rate * (1 - rate), F.col("labels")))
     differs = (F.col("labels") > 0) & (
-        F.abs(F.col("bad") / F.col("labels") - rate) >= similar * error) & (error > 0)
+        F.abs(F.try_divide("bad", "labels") - rate) >= similar * error) & (error > 0)
     prior = F.coalesce(overall.scalar(), F.lit(0.0))
     judged = branches.join(above, ["host", "parent", "level"], "left").select(
         "host", "branch", "level",
