@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerflow.llm.common import stored
-from tellerflow.llm.tokens import tokenizer
+from tellerflow.llm.tokens import byte_letters, tokenizer
 
 #: Words a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 _MERGED = 1 << 62
+_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 
 
 class _Encoder:
@@ -25,20 +28,32 @@ class _Encoder:
 
     The vocabularies this serves drop white space and divide at it, so the ids of a text are those
     of its words one after the other. Words are remembered with A-Z folded, as the vocabulary
-    folds them; a text that may hold a special string is left to the library whole.
+    folds them. Letters of Latin-1 and a stop mark behind them need no more than lower case before
+    the merges; other words, and texts that may hold a special string, are left to the library.
     """
 
     def __init__(self, path: str):
         own = tokenizer(path)
         self.whole = own
+        merge, letters = own.model.tokenize, str.maketrans(
+            {chr(b): c for b, c in byte_letters().items()}
+        )
+
+        def plain(piece: str) -> list[int]:
+            return [t.id for t in merge(piece.encode().decode("latin-1").translate(letters))]
         self.special = {t.content[:2].encode() for t in own.get_added_tokens_decoder().values()}
 
         class Words(dict):
             def __missing__(self, word: bytes) -> bytes:
                 if len(self) > REMEMBERED:
                     self.clear()
-                ids = own.encode(word.decode(), add_special_tokens=False).ids
-                data = np.array(ids, "<u4").tobytes()
+                text = word.decode()
+                parts = _PLAIN.fullmatch(text.lower())
+                if parts:
+                    ids = plain(parts[1]) + (plain(parts[2]) if parts[2] else [])
+                else:
+                    ids = own.encode(text, add_special_tokens=False).ids
+                data = array("I", ids).tobytes()
                 if len(word) < 100:
                     self[word] = data
                 return data
