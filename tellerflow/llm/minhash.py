@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,64 +22,86 @@ def shingle_set(text: str | None, size: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(ngram_hashes(hashes, min(size, len(hashes)))) if len(hashes) else hashes
 
 
-def superminhash(elements: np.ndarray, slots: int) -> np.ndarray:
-    """Signature of a non-empty set: per slot the least of level + fraction over all elements.
+def superminhash(sets: list[np.ndarray], slots: int) -> np.ndarray:
+    """A signature per set: for each slot the least of level + fraction over all its elements.
 
     Each element walks its own random permutation of the slots; at step j it offers j plus a
-    fresh fraction to the slot it reaches. Once every slot holds a value below j + 1, no later
-    step can lower any, and the walk stops. Level and fraction are packed into one integer.
+    fresh fraction to the slot it reaches. Once every slot of a set holds a value below j + 1, no
+    later step can lower any, and its walk stops. Level and fraction are packed into one integer.
+    An empty set leaves its slots at the largest value.
     """
-    best = np.full(slots, _EMPTY)
-    rows = np.arange(len(elements))
+    best = np.full((len(sets), slots), _EMPTY)
+    if not len(sets):
+        return best
+    flat = best.reshape(-1)
+    elements = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     walk = None
     for level in range(slots):
         draw = mix(elements + np.uint64((level + 1) * 0xD1B54A32D192ED03 % 2**64))
         step = (mix(draw ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)) * np.uint64(
             slots - level
         )
-        reached = level + (step >> np.uint64(32)).astype(np.int64)
-        if level == 0:
-            slot, first = reached, reached
+        slot = level + (step >> np.uint64(32)).astype(np.int64)
+        if walk is None:
+            first = slot
         else:
-            if walk is None:
-                walk = np.tile(np.arange(slots, dtype=np.int16), (len(elements), 1))
-                walk[rows, first] = 0
+            rows, reached = np.arange(len(elements)), slot
             slot = walk[rows, reached]
             walk[rows, reached] = walk[:, level]
-        np.minimum.at(best, slot, (np.uint64(level) << _LEVEL_BITS) | (draw >> np.uint64(8)))
-        if int(best.max() >> _LEVEL_BITS) <= level:
+        np.minimum.at(
+            flat, owner * slots + slot, (np.uint64(level) << _LEVEL_BITS) | (draw >> np.uint64(8))
+        )
+        open_sets = best.max(axis=1) >> _LEVEL_BITS > np.uint64(level)
+        going = open_sets[owner]
+        left = np.count_nonzero(going)
+        if not left:
             break
+        if left < 0.7 * len(going):  # a set that is done may go on: nothing lowers its slots
+            elements, owner = elements[going], owner[going]
+            first, walk = first[going], None if walk is None else walk[going]
+        if walk is None:
+            walk = np.tile(np.arange(slots, dtype=np.int16), (len(elements), 1))
+            walk[np.arange(len(elements)), first] = 0
+            first = np.empty(len(elements), np.int64)
     return best
 
 
-def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    parts = signature[: bands * rows].reshape(bands, rows)
-    key = np.arange(1, bands + 1, dtype=np.uint64)
+def _in_chunks(sets: list[np.ndarray], elements: int = 100_000) -> Iterator[list[np.ndarray]]:
+    """The sets in order, in lists of about so many elements; a larger set is alone."""
+    now, size = [], 0
+    for found in sets:
+        if now and size + len(found) > elements:
+            yield now
+            now, size = [], 0
+        now.append(found)
+        size += len(found)
+    if now:
+        yield now
+
+
+def _bands(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    parts = signatures[:, : bands * rows].reshape(-1, bands, rows)
+    key = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(parts), 1))
     for i in range(rows):
-        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, i])
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, i])
     return key
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, first, second, keys = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                found = shingle_set(text)
-                sizes.append(len(found))
-                if not len(found):
-                    first.append(0)
-                    second.append(0)
-                    keys.append([])
-                    continue
-                first.append(found.sum(dtype=np.uint64).view(np.int64))
-                second.append(mix(found ^ _EMPTY).sum(dtype=np.uint64).view(np.int64))
-                signature = superminhash(found, bands * rows)
-                keys.append(_bands(signature, bands, rows).view(np.int64))
+            sets = [shingle_set(text) for text in batch.column(1).to_pylist()]
+            first = [s.sum(dtype=np.uint64).view(np.int64) for s in sets]
+            second = [mix(s ^ _EMPTY).sum(dtype=np.uint64).view(np.int64) for s in sets]
+            keys = []
+            for some in _in_chunks(sets):
+                found = _bands(superminhash(some, bands * rows), bands, rows).view(np.int64)
+                keys += [k if len(s) else k[:0] for k, s in zip(found, some, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(sizes, pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(first, pa.int64()),
                     pa.array(second, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
@@ -126,27 +147,34 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _across(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _across(group: pa.Table, percent: int) -> pa.Table:
     """One link for every two components that two blocks of a bucket connect."""
-    sides = [pdf[pdf["left"]], pdf[pdf["right"]]]
-    names = [s["component_id"].to_numpy() for s in sides]
-    found = [np.concatenate(s["shingles"].to_list() or [np.empty(0, np.int64)]) for s in sides]
-    rows = [np.repeat(np.arange(len(s)), s["shingles"].map(len)) for s in sides]
+    lists = group.column("shingles").combine_chunks()
+    starts, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    component = group.column("component_id").to_numpy()
+    names, found, rows, n = [], [], [], []
+    for side in ("left", "right"):
+        members = np.flatnonzero(group.column(side).to_numpy())
+        sets = [values[starts[i] : starts[i + 1]] for i in members]
+        names.append(component[members])
+        n.append(np.array([len(s) for s in sets], np.int64))
+        found.append(np.concatenate([*sets, np.empty(0, np.int64)]))
+        rows.append(np.repeat(np.arange(len(sets)), n[-1]))
     shared = np.intersect1d(np.unique(found[0]), np.unique(found[1]), assume_unique=True)
-    common = np.zeros((len(sides[0]), len(sides[1])), np.float32)
+    common = np.zeros((len(n[0]), len(n[1])), np.float32)
     for at in range(0, len(shared), 4096):
         part, marks = shared[at : at + 4096], []
-        for side, values, row in zip(sides, found, rows, strict=True):
+        for values, row, size in zip(found, rows, n, strict=True):
             column = np.minimum(np.searchsorted(part, values), len(part) - 1)
             hit = part[column] == values
-            mark = np.zeros((len(side), len(part)), np.float32)
+            mark = np.zeros((len(size), len(part)), np.float32)
             mark[row[hit], column[hit]] = 1
             marks.append(mark)
         common += marks[0] @ marks[1].T
-    n = [s["shingles"].map(len).to_numpy(np.int64) for s in sides]
     alike = _alike(n[0][:, None], n[1][None, :], common.astype(np.int64), percent)
     a, b = np.nonzero(alike & (names[0][:, None] != names[1][None, :]))
-    return pd.DataFrame({"a": names[0][a], "b": names[1][b]}).drop_duplicates()
+    links = np.unique(np.stack([names[0][a], names[1][b]]), axis=1)
+    return pa.table({"a": links[0], "b": links[1]})
 
 
 def _other_links(rest: DataFrame, sets: DataFrame, percent: int, block: int = 512) -> DataFrame:
@@ -171,7 +199,7 @@ def _other_links(rest: DataFrame, sets: DataFrame, percent: int, block: int = 51
     return (
         placed.join(sets, "doc_id")
         .groupBy("bucket", "low", "high")
-        .applyInPandas(lambda pdf: _across(pdf, percent), "a long, b long")
+        .applyInArrow(lambda group: _across(group, percent), "a long, b long")
         .distinct()
     )
 
@@ -233,8 +261,15 @@ def near_duplicates(
     )
     torn = (
         placed.groupBy("bucket")
-        .agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+        .agg(
+            F.min("component_id").alias("low"), F.max("component_id").alias("high"),
+            F.count(F.lit(1)).alias("members"),
+            F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("k1"),
+            F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("k2"),
+        )
         .filter("low < high")
+        .groupBy("members", "k1", "k2")  # buckets of the same members are compared once
+        .agg(F.min("bucket").alias("bucket"))
         .select("bucket")
     )
     rest = placed.join(torn, "bucket", "left_semi").filter("doc_id <> pivot").select(

@@ -89,10 +89,12 @@ def test_superminhash_estimates_similarity():
     for shared in (20, 100, 180):
         pool = rng.integers(0, 2**63, 400 - shared, dtype=np.uint64)
         a, b = pool[:200], pool[200 - shared :]
-        same = minhash.superminhash(a, 256) == minhash.superminhash(b, 256)
+        first, second = minhash.superminhash([a, b], 256)
+        assert (first == minhash.superminhash([a[:0], a], 256)[1]).all()  # whatever stands beside
+        same = first == second
         errors.append(abs(same.mean() - shared / len(pool)))
     assert max(errors) < 0.1
-    assert len(set(minhash.superminhash(a[:1], 256).tolist())) == 256  # a slot for each level
+    assert len(set(minhash.superminhash([a[:1]], 256)[0].tolist())) == 256  # a slot for each level
 
 
 def vectors_of(spark, rows):
