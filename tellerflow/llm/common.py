@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
@@ -11,6 +13,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own_folder: dict[str, str] = {}
+_sent_to: set[str] = set()
+
+
+def send_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, by Spark's own file distribution;
+    so the Python functions also run where the package is not on the workers' path."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId in _sent_to or not package.is_dir():
+        return
+    target = Path(tempfile.mkdtemp(prefix="code-")) / package.name
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    _sent_to.add(context.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -21,6 +21,7 @@ from tellerflow.llm import (
     tokens,
     urls,
 )
+from tellerflow.llm.common import send_code
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,7 @@ URL_RULES: list[urls.Rule] = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    send_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
