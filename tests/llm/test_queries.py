@@ -1,5 +1,10 @@
 """The numbered queries: against SQL where there is some, and the pipeline stage by stage."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import corpus_pipeline
@@ -37,6 +42,25 @@ def test_pipeline_on_odd_rows(spark, docs):
         "doc_id", "text", "CAST(NULL AS STRING) AS lang", "'s' AS source", "CAST(0 AS LONG) AS n_chars"
     )
     for frame in (odd, odd.limit(0)):
-        for _, stage in corpus_pipeline.STAGES[1:]:
+        for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, frame, SF_DIR)
             assert out.count() >= 0
+
+
+OUTSIDE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+import __spark_entry__
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("rows", __spark_entry__.queries()["op8_token_count"](spark, sys.argv[2]).count())
+"""
+
+
+def test_workers_need_no_path_to_the_repository(spark, tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("PYSPARK")}
+    repo = str(Path(corpus_pipeline.__file__).parent)
+    done = subprocess.run([sys.executable, "-c", OUTSIDE, repo, SF_DIR], cwd=tmp_path, env=env,
+                          capture_output=True, text=True, timeout=180, check=False)
+    rows = queries.table(spark, SF_DIR, "documents").count()
+    assert f"rows {rows}" in done.stdout, done.stderr[-2000:]
