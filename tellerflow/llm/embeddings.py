@@ -3,96 +3,174 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from tellerflow.llm.common import components, stored
+from tellerflow.llm.common import components, mix, stored
 
-LEVELS = 40
+LEVELS = 42
+#: Levels that one pass over the vectors descends.
+STEP = 6
+_CUTS = 2**STEP - 1
 
 
-def _projected(vectors: DataFrame, trees: int) -> DataFrame:
-    """doc key, unit vector in double precision, and its projections: LEVELS for every tree.
+def _units(lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and unit vectors in double precision, one length of vector after the other.
 
-    Each tree has a random direction per level; they follow from tree and level alone. Vectors
-    that are null, zero, or hold null or non-finite components are left out.
+    Vectors that are null, empty, zero, or hold null or non-finite components are left out.
     """
+    values = lists.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    starts = lists.offsets.to_numpy()
+    sizes = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(starts), 0)
+    for dim in np.unique(sizes[sizes > 0]):
+        rows = np.flatnonzero(sizes == dim)
+        x = values[starts[rows][:, None] + np.arange(dim)]
+        scale = np.abs(x).max(axis=1)
+        good = np.isfinite(scale) & (scale > 0)
+        x = x[good] / scale[good, None]
+        yield rows[good], x / np.sqrt((x * x).sum(axis=1))[:, None]
 
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
+
+def _keyed(vectors: DataFrame, kind: str) -> DataFrame:
+    """The vectors that can link, with their length and two hashes of the unit vector."""
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, units, shades = [], [], []
-            for key, vector in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not vector or None in vector:
-                    continue
-                x = np.array(vector, np.float64)
-                scale = np.abs(x).max()
-                if not np.isfinite(scale) or scale == 0:
-                    continue
-                x = x / scale
-                x /= np.sqrt(x @ x)
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng(len(x)).standard_normal(
-                        (trees * LEVELS, len(x))
-                    )
-                ids.append(key)
-                units.append(x)
-                shades.append((planes[len(x)] @ x).astype(np.float32))
+            for rows, x in _units(batch.column(1)):
+                hashes = [xxhash.xxh3_128_intdigest(row.tobytes()) for row in x]
+                k1, k2 = (np.array([h >> by & 2**64 - 1 for h in hashes], np.uint64).view(np.int64)
+                          for by in (0, 64))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(rows)), pa.array(k1), pa.array(k2),
+                     pa.array(np.full(len(rows), x.shape[1], np.int32)),
+                     batch.column(1).take(pa.array(rows))],
+                    ["vec_id", "k1", "k2", "dim", "v"],
+                )
+
+    return vectors.mapInArrow(key, f"vec_id long, k1 long, k2 long, dim int, v {kind}")
+
+
+@lru_cache(maxsize=64)
+def _directions(tree: int, level: int, dim: int) -> np.ndarray:
+    """Random directions of STEP levels of one tree, a column each; they follow from the numbers."""
+    return np.random.default_rng([tree, level, dim]).standard_normal((dim, STEP))
+
+
+def _fitted(group: pa.Table, level: int, leaf: int, spill: float) -> pa.Table:
+    """Cuts of the next STEP levels below one node, in heap order, from a sample of its vectors.
+
+    Each cut is the median of the projections. NaN marks a node that is a leaf: it holds at most
+    ``leaf`` vectors, or over half of them lie within the overlap, as in a group of copies, where
+    splitting would only repeat them. Infinity marks one with too small a sample to tell.
+    """
+    (_, x), = _units(group.column("v").combine_chunks())
+    shade = x @ _directions(group.column("tree")[0].as_py(), level, x.shape[1])
+    weight = group.column("n")[0].as_py() / len(x)
+    cuts = np.full(_CUTS, np.nan)
+    stack = [(0, 0, np.arange(len(x)))]
+    while stack:
+        at, depth, rows = stack.pop()
+        if len(rows) * weight <= leaf:
+            continue
+        if len(rows) < 32:
+            cuts[at] = np.inf
+            continue
+        p = shade[rows, depth]
+        low, cut, high = np.quantile(p, [0.25, 0.5, 0.75])
+        if high - low < 2 * spill:
+            continue
+        cuts[at] = cut
+        if depth + 1 < STEP:
+            stack.append((2 * at + 1, depth + 1, rows[p <= cut + spill]))
+            stack.append((2 * at + 2, depth + 1, rows[p > cut - spill]))
+    return pa.table({"node": group.column("node")[:1], "cuts": pa.array([cuts])})
+
+
+def _placed(batch: pa.RecordBatch, level: int, spill: float) -> Iterator[pa.RecordBatch]:
+    """Where the vectors of some nodes come out STEP levels further down; near a cut, both sides."""
+    names = ["vec_id", "tree", "dim", "node"]
+    vec_id, tree, dim, node = (batch.column(name).to_numpy() for name in names)
+    for rows, x in _units(batch.column("v")):
+        for t in np.unique(tree[rows]):
+            mine = tree[rows] == t
+            at = rows[mine]
+            shade = x[mine] @ _directions(int(t), level, x.shape[1])
+            lists = batch.column("cuts").take(pa.array(at))
+            cuts = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, _CUTS)
+            who, pos, out = np.arange(len(at)), np.zeros(len(at), np.int64), []
+            for depth in range(STEP):
+                cut = cuts[who, pos]
+                going = np.isfinite(cut)
+                out.append((who[~going], pos[~going], np.isnan(cut[~going])))
+                who, pos, cut = who[going], pos[going], cut[going]
+                p = shade[who, depth]
+                left, right = p <= cut + spill, p > cut - spill
+                who = np.concatenate([who[left], who[right]])
+                pos = np.concatenate([2 * pos[left] + 1, 2 * pos[right] + 2])
+            out.append((who, pos, np.zeros(len(who), bool)))
+            who, pos, done = (np.concatenate(part) for part in zip(*out, strict=True))
+            source = at[who]
+            child = mix(node[source].view(np.uint64) + mix(pos.astype(np.uint64) + np.uint64(1)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(units, pa.list_(pa.float64())),
-                 pa.array(shades, pa.list_(pa.float32()))],
-                ["vec_id", "unit", "shades"],
+                [pa.array(vec_id[source]), pa.array(tree[source]), pa.array(dim[source]),
+                 pa.array(child.view(np.int64)), pa.array(done)],
+                [*names, "done"],
             )
 
-    return vectors.mapInArrow(project, "vec_id long, unit array<double>, shades array<float>")
-
 
-def _leaves(points: DataFrame, trees: int, leaf: int, spill: float) -> DataFrame:
-    """(vec_id, leaf): every tree is split level by level at the median of the projection.
+def _leaves(heads: DataFrame, trees: int, leaf: int, spill: float, sample: int) -> DataFrame:
+    """(vec_id, dim, leaf): all vectors placed in the leaves of every tree.
 
-    A point within ``spill`` of the cut goes to both sides. A node stops when it has at most
-    ``leaf`` points, or when over half of them lie within the overlap, as in a group of copies,
-    where splitting would only repeat them. Each level is one aggregate and one join of narrow
-    rows; nothing is collected.
+    A pass counts the open nodes, fits the cuts of STEP levels from about ``sample`` vectors of
+    each node, a task per node, and lets every vector descend by them. Only ids and node numbers
+    are written; the table of cuts is a few hundred bytes for a node of over ``leaf`` vectors.
     """
-    table = points.select(
-        F.col("vec_id"),
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)),
-                                 lambda t: F.slice("shades", t * LEVELS + 1, LEVELS))).alias("tree", "p"),
-        F.size(F.col("unit")).alias("dim"),
-    ).withColumn("node", F.xxhash64("tree", "dim")).drop("tree", "dim")
+
+    def fit(group: pa.Table) -> pa.Table:
+        return _fitted(group, level, leaf, spill)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _placed(batch, level, spill)
+
+    names = ["vec_id", "tree", "dim", "node"]
+    state = heads.select("vec_id", "dim").distinct().select(
+        "vec_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "dim"
+    ).withColumn("node", F.xxhash64("tree", "dim"))
+    vectors = heads.select("vec_id", "dim", "v")
     done: DataFrame | None = None
-    for level in range(LEVELS + 1):
-        seen = Observation()
-        at = F.get("p", F.lit(level))
-        nodes = table.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(at, [0.25, 0.5, 0.75], 200).alias("q"),
+    for level in range(0, LEVELS, STEP):
+        sizes = stored(state.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        sized = state.join(sizes, "node")
+        final = sized.filter(F.col("n") <= leaf)
+        wide = sized.filter(F.col("n") > leaf)
+        chosen = F.pmod(F.xxhash64("vec_id", "node"), F.col("n")) < sample
+        cuts = stored(
+            wide.filter(chosen).join(vectors, ["vec_id", "dim"])
+            .select("node", "tree", "n", "v").groupBy("node")
+            .applyInArrow(fit, "node long, cuts array<double>"),
+            "cuts",
         )
-        ready = (F.col("n") <= leaf) | (F.element_at("q", 3) - F.element_at("q", 1) < 2 * spill)
-        if level == LEVELS:
-            ready = F.lit(True)
         placed = stored(
-            table.join(nodes.select("node", F.element_at("q", 2).alias("cut"), ready.alias("ready")),
-                       "node").observe(seen, F.sum(F.expr("int(NOT ready)")).alias("open")),
+            wide.select(*names).join(vectors, ["vec_id", "dim"]).join(cuts, "node")
+            .select(*names, "v", "cuts")
+            .mapInArrow(place, "vec_id long, tree int, dim int, node long, done boolean"),
             "nodes",
         )
-        final = placed.filter("ready").select("vec_id", F.col("node").alias("leaf"))
-        done = final if done is None else done.unionByName(final)
-        if not seen.get["open"]:
+        for part in (final, placed.filter("done")):
+            part = part.select("vec_id", "dim", F.col("node").alias("leaf"))
+            done = part if done is None else done.unionByName(part)
+        state = placed.filter("NOT done").select(*names).distinct()
+        if state.isEmpty():
             return done
-        side = F.array_compact(
-            F.array(
-                F.when(at <= F.col("cut") + spill, F.xxhash64("node", F.lit(0))),
-                F.when(at > F.col("cut") - spill, F.xxhash64("node", F.lit(1))),
-            )
-        )
-        table = placed.filter("NOT ready").select("vec_id", "p", F.explode(side).alias("node"))
-    return done
+    return done.unionByName(state.select("vec_id", "dim", F.col("node").alias("leaf")))
 
 
 def _compare(group: Iterator[pd.DataFrame], limit: float) -> pd.DataFrame:
@@ -103,10 +181,10 @@ def _compare(group: Iterator[pd.DataFrame], limit: float) -> pd.DataFrame:
     pdf = pd.concat(list(group), ignore_index=True)
     left, right = pdf[pdf["left"]], pdf[pdf["right"]]
     leaf, same = pdf["leaf"].iloc[0], bool(pdf["same"].iloc[0])
-    a = np.array(left["unit"].tolist(), np.float64)
-    b = a if same else np.array(right["unit"].tolist(), np.float64)
-    if not len(a) or not len(b):
+    if not len(left) or not len(right):
         return pd.DataFrame({"a": [], "b": [], "n": []})
+    (_, a), = _units(pa.array(left["v"]))
+    b = a if same else next(_units(pa.array(right["v"])))[1]
     hit = a @ b.T >= limit
     if same:
         np.fill_diagonal(hit, False)
@@ -153,10 +231,11 @@ def _compare(group: Iterator[pd.DataFrame], limit: float) -> pd.DataFrame:
 def near_duplicate_vectors(
     vectors: DataFrame,
     cosine: float = 0.95,
-    trees: int = 8,
-    leaf: int = 512,
+    trees: int = 4,
+    leaf: int = 1536,
     spill: float = 0.16,
-    block: int = 1024,
+    block: int = 2048,
+    sample: int = 4096,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -164,8 +243,9 @@ def near_duplicate_vectors(
 
     Vectors are linked when their cosine, in double precision, reaches ``cosine``. Candidates share
     a leaf in one of ``trees`` trees; ``spill`` is the half-width of the overlap in units of a
-    projection's standard deviation for unit vectors along it (directions are not normalised). All
-    links inside leaves are verified; below ``cosine`` there are none.
+    projection's standard deviation for unit vectors along it (directions are not normalised).
+    Cuts are medians of about ``sample`` vectors of a node; every vector is placed. All links
+    inside leaves are verified; below ``cosine`` there are none.
 
     Equal vectors are compared once and counted as often as they occur. A leaf that cannot be
     split is compared in pairs of blocks of ``block`` vectors, a task each; what leaves a task is
@@ -176,23 +256,24 @@ def near_duplicate_vectors(
     link with nothing and are kept; their component is null. Rows that repeat an id are vectors of
     their own with the links of all rows of that id, except to that id.
     """
+    column = vectors.schema[vector_col].dataType
+    single = isinstance(column, ArrayType) and isinstance(column.elementType, FloatType)
+    kind = "array<float>" if single else "array<double>"
     base = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
-                          F.col(vector_col).cast("array<double>").alias("v"))
-    points = stored(_projected(base.filter("vec_id IS NOT NULL"), trees), "points")
-    key = [F.xxhash64("unit").alias("k1"), F.xxhash64("unit", F.lit(7)).alias("k2")]
-    named = points.select("vec_id", *key)
+                          F.col(vector_col).cast(kind).alias("v"))
+    points = stored(_keyed(base.filter("vec_id IS NOT NULL"), kind), "points")
+    named = points.select("vec_id", "k1", "k2")
     same = named.groupBy("k1", "k2").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
     named = stored(named.join(same, ["k1", "k2"]), "copies")
     reps = named.filter("vec_id = rep").select("vec_id", "k1", "k2", "copies").distinct()
     heads = stored(
-        points.select("vec_id", "unit", "shades", *key)
-        .join(reps, ["vec_id", "k1", "k2"]).drop("k1", "k2")
-        .dropDuplicates(["vec_id", "unit"]),
+        points.join(reps, ["vec_id", "k1", "k2"]).dropDuplicates(["vec_id", "k1", "k2"])
+        .select("vec_id", "dim", "v", "copies"),
         "heads",
     )
-    leaves = stored(_leaves(heads, trees, leaf, spill).distinct(), "leaves")
+    leaves = stored(_leaves(heads, trees, leaf, spill, sample).distinct(), "leaves")
     sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     homes = leaves.groupBy("vec_id").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
     blocks = F.ceil(F.col("size") / block).cast("int")
@@ -201,20 +282,19 @@ def near_duplicate_vectors(
         .withColumn("blocks", blocks)
         .withColumn("mine", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
         .select(
-            "leaf", "vec_id", "mine",
+            "leaf", "vec_id", "dim", "mine",
             F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
         )
         .select(
-            "vec_id", "leaf",
+            "vec_id", "dim", "leaf",
             F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
             (F.col("mine") <= F.col("other")).alias("left"),
             (F.col("mine") >= F.col("other")).alias("right"),
-            F.lit(True).alias("x"),
         )
     )
-    placed = placed.withColumn("same", F.col("low") == F.col("high")).drop("x")
-    full = heads.join(homes, "vec_id").select("vec_id", "unit", "copies", "leaves")
-    compared = placed.join(full, "vec_id").groupBy("leaf", "low", "high").applyInPandas(
+    placed = placed.withColumn("same", F.col("low") == F.col("high"))
+    full = heads.join(homes, "vec_id").select("vec_id", "dim", "v", "copies", "leaves")
+    compared = placed.join(full, ["vec_id", "dim"]).groupBy("leaf", "low", "high").applyInPandas(
         lambda pdf: _compare(iter([pdf]), cosine), "a long, b long, n long"
     )
     compared = stored(compared, "links")
