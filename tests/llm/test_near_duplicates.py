@@ -133,3 +133,26 @@ def test_vectors_without_ids_and_empty(spark):
         (None, 0, None, True), (1, 1, 1, True), (2, 1, 1, False)
     }
     assert embeddings.near_duplicate_vectors(vectors_of(spark, [])).count() == 0
+
+
+def test_forest_of_several_passes(spark):
+    """Small samples leave nodes open, so that later passes have to split them."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((300, 16))
+    x = np.concatenate([base, base + 0.05 * rng.standard_normal(base.shape)])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = embeddings.near_duplicate_vectors(
+        vectors_of(spark, rows), leaf=24, block=20, sample=60, trees=6
+    ).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = unit @ unit.T >= 0.95
+    np.fill_diagonal(hit, False)
+    assert {r.vec_id: r.n_links for r in found} == dict(enumerate(hit.sum(1).tolist()))
+
+
+def test_equal_vectors_of_two_lengths_under_one_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0]), (3, [3.0, 0.0, 0.0])]
+    found = embeddings.near_duplicate_vectors(vectors_of(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [
+        (1, 2, 1), (1, 2, 1), (2, 1, 1), (3, 1, 1)
+    ]
