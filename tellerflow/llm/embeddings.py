@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -63,8 +64,23 @@ def _directions(tree: int, level: int, dim: int) -> np.ndarray:
     return np.random.default_rng([tree, level, dim]).standard_normal((dim, STEP))
 
 
-def _fitted(group: pa.Table, level: int, leaf: int, spill: float) -> pa.Table:
-    """Cuts of the next STEP levels below one node, in heap order, from a sample of its vectors.
+_erfc = np.frompyfunc(math.erfc, 1, 1)
+
+
+def _split_rate(off: np.ndarray, spill: float, gap: float) -> float:
+    """Share of pairs that a cut parts, from the distances of a sample's projections to the cut.
+
+    The partner's projection differs by a normal deviate of standard deviation ``gap``; the pair
+    is parted if one lies beyond the overlap on one side and the other beyond it on the other.
+    """
+    off = np.abs(off)
+    far = (off[off > spill] + spill) / (gap * math.sqrt(2))
+    return float(_erfc(far[far < 6]).astype(float).sum() / 2 / len(off))
+
+
+def _fitted(group: pa.Table, level: int, leaf: int, spill: float, gap: float) -> pa.Table:
+    """Cuts of the next STEP levels below one node, in heap order, from a sample of its vectors,
+    and for each the share of pairs ``gap`` apart that it parts.
 
     Each cut is the median of the projections. NaN marks a node that is a leaf: it holds at most
     ``leaf`` vectors, or over half of them lie within the overlap, as in a group of copies, where
@@ -73,7 +89,7 @@ def _fitted(group: pa.Table, level: int, leaf: int, spill: float) -> pa.Table:
     (_, x), = _units(group.column("v").combine_chunks())
     shade = x @ _directions(group.column("tree")[0].as_py(), level, x.shape[1])
     weight = group.column("n")[0].as_py() / len(x)
-    cuts = np.full(_CUTS, np.nan)
+    cuts, rates = np.full(_CUTS, np.nan), np.zeros(_CUTS)
     stack = [(0, 0, np.arange(len(x)))]
     while stack:
         at, depth, rows = stack.pop()
@@ -86,47 +102,57 @@ def _fitted(group: pa.Table, level: int, leaf: int, spill: float) -> pa.Table:
         low, cut, high = np.quantile(p, [0.25, 0.5, 0.75])
         if high - low < 2 * spill:
             continue
-        cuts[at] = cut
+        cuts[at], rates[at] = cut, _split_rate(p - cut, spill, gap)
         if depth + 1 < STEP:
             stack.append((2 * at + 1, depth + 1, rows[p <= cut + spill]))
             stack.append((2 * at + 2, depth + 1, rows[p > cut - spill]))
-    return pa.table({"node": group.column("node")[:1], "cuts": pa.array([cuts])})
+    return pa.table(
+        {"node": group.column("node")[:1], "cuts": pa.array([cuts]), "rates": pa.array([rates])}
+    )
 
 
 def _placed(batch: pa.RecordBatch, level: int, spill: float) -> Iterator[pa.RecordBatch]:
-    """Where the vectors of some nodes come out STEP levels further down; near a cut, both sides."""
-    names = ["vec_id", "tree", "dim", "node"]
-    vec_id, tree, dim, node = (batch.column(name).to_numpy() for name in names)
+    """Where the vectors of some nodes come out STEP levels further down; near a cut, both sides.
+    ``risk`` sums -log(1 - rate) over the cuts on the way."""
+    names = ["vec_id", "tree", "dim", "node", "risk"]
+    vec_id, tree, dim, node, risk = (batch.column(name).to_numpy() for name in names)
     for rows, x in _units(batch.column("v")):
         for t in np.unique(tree[rows]):
             mine = tree[rows] == t
             at = rows[mine]
             shade = x[mine] @ _directions(int(t), level, x.shape[1])
-            lists = batch.column("cuts").take(pa.array(at))
-            cuts = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, _CUTS)
-            who, pos, out = np.arange(len(at)), np.zeros(len(at), np.int64), []
+            cuts, rates = (
+                batch.column(name).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+                .reshape(-1, _CUTS) for name in ("cuts", "rates")
+            )
+            who, pos, sofar, out = np.arange(len(at)), np.zeros(len(at), np.int64), risk[at], []
             for depth in range(STEP):
                 cut = cuts[who, pos]
                 going = np.isfinite(cut)
-                out.append((who[~going], pos[~going], np.isnan(cut[~going])))
+                out.append((who[~going], pos[~going], sofar[~going], np.isnan(cut[~going])))
                 who, pos, cut = who[going], pos[going], cut[going]
+                sofar = sofar[going] - np.log1p(-rates[who, pos])
                 p = shade[who, depth]
                 left, right = p <= cut + spill, p > cut - spill
                 who = np.concatenate([who[left], who[right]])
+                sofar = np.concatenate([sofar[left], sofar[right]])
                 pos = np.concatenate([2 * pos[left] + 1, 2 * pos[right] + 2])
-            out.append((who, pos, np.zeros(len(who), bool)))
-            who, pos, done = (np.concatenate(part) for part in zip(*out, strict=True))
+            out.append((who, pos, sofar, np.zeros(len(who), bool)))
+            who, pos, sofar, done = (np.concatenate(part) for part in zip(*out, strict=True))
             source = at[who]
             child = mix(node[source].view(np.uint64) + mix(pos.astype(np.uint64) + np.uint64(1)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(vec_id[source]), pa.array(tree[source]), pa.array(dim[source]),
-                 pa.array(child.view(np.int64)), pa.array(done)],
+                 pa.array(child.view(np.int64)), pa.array(sofar), pa.array(done)],
                 [*names, "done"],
             )
 
 
-def _leaves(heads: DataFrame, trees: int, leaf: int, spill: float, sample: int) -> DataFrame:
-    """(vec_id, dim, leaf): all vectors placed in the leaves of every tree.
+def _leaves(
+    roots: DataFrame, heads: DataFrame, leaf: int, spill: float, gap: float, sample: int
+) -> DataFrame:
+    """(vec_id, dim, tree, leaf, risk): the vectors placed in the leaves of the trees that
+    ``roots`` (vec_id, dim, tree) names for them.
 
     A pass counts the open nodes, fits the cuts of STEP levels from about ``sample`` vectors of
     each node, a task per node, and lets every vector descend by them. Only ids and node numbers
@@ -134,16 +160,16 @@ def _leaves(heads: DataFrame, trees: int, leaf: int, spill: float, sample: int)
     """
 
     def fit(group: pa.Table) -> pa.Table:
-        return _fitted(group, level, leaf, spill)
+        return _fitted(group, level, leaf, spill, gap)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _placed(batch, level, spill)
 
-    names = ["vec_id", "tree", "dim", "node"]
-    state = heads.select("vec_id", "dim").distinct().select(
-        "vec_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "dim"
-    ).withColumn("node", F.xxhash64("tree", "dim"))
+    names = ["vec_id", "tree", "dim", "node", "risk"]
+    state = roots.select(
+        "vec_id", "tree", "dim", F.xxhash64("tree", "dim").alias("node"), F.lit(0.0).alias("risk")
+    )
     vectors = heads.select("vec_id", "dim", "v")
     done: DataFrame | None = None
     for level in range(0, LEVELS, STEP):
@@ -155,22 +181,55 @@ def _leaves(heads: DataFrame, trees: int, leaf: int, spill: float, sample: int)
         cuts = stored(
             wide.filter(chosen).join(vectors, ["vec_id", "dim"])
             .select("node", "tree", "n", "v").groupBy("node")
-            .applyInArrow(fit, "node long, cuts array<double>"),
+            .applyInArrow(fit, "node long, cuts array<double>, rates array<double>"),
             "cuts",
         )
         placed = stored(
             wide.select(*names).join(vectors, ["vec_id", "dim"]).join(cuts, "node")
-            .select(*names, "v", "cuts")
-            .mapInArrow(place, "vec_id long, tree int, dim int, node long, done boolean"),
+            .select(*names, "v", "cuts", "rates")
+            .mapInArrow(
+                place, "vec_id long, tree int, dim int, node long, risk double, done boolean"),
             "nodes",
         )
         for part in (final, placed.filter("done")):
-            part = part.select("vec_id", "dim", F.col("node").alias("leaf"))
+            part = part.select("vec_id", "dim", "tree", F.col("node").alias("leaf"), "risk")
             done = part if done is None else done.unionByName(part)
         state = placed.filter("NOT done").select(*names).distinct()
         if state.isEmpty():
             return done
-    return done.unionByName(state.select("vec_id", "dim", F.col("node").alias("leaf")))
+    return done.unionByName(
+        state.select("vec_id", "dim", "tree", F.col("node").alias("leaf"), "risk"))
+
+
+def _forest(
+    heads: DataFrame, trees: int, loss: float, leaf: int, spill: float, gap: float, sample: int
+) -> DataFrame:
+    """(vec_id, dim, leaf): all vectors in the leaves of as many trees as each of them needs.
+
+    A pair survives a tree with probability exp(-risk) at least, the risk of the worst of a
+    vector's leaves; it must be lost in all trees of both. Vectors whose estimate over ``trees``
+    trees is above ``loss`` go into further trees, made of such vectors alone, until it is not.
+    """
+    names = ["vec_id", "dim", "tree"]
+    roots = heads.select("vec_id", "dim").distinct().select(
+        "vec_id", "dim", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    leaves: DataFrame | None = None
+    while True:
+        grown = stored(_leaves(roots, heads, leaf, spill, gap, sample).distinct(), "leaves")
+        leaves = grown if leaves is None else leaves.unionByName(grown)
+        lost = F.log(F.greatest(-F.expm1(-F.max("risk")), F.lit(1e-300)))
+        each = leaves.groupBy(*names).agg(lost.alias("lost")).groupBy("vec_id", "dim").agg(
+            F.sum("lost").alias("lost"), F.count(F.lit(1)).cast("int").alias("has"))
+        more = F.ceil(F.col("has") * (math.log(loss) / F.col("lost") - 1)).cast("int")
+        roots = stored(
+            each.filter(F.col("lost") > math.log(loss)).select(
+                "vec_id", "dim",
+                F.explode(F.sequence("has", F.col("has") + F.greatest(more, F.lit(1)) - 1))
+                .alias("tree")),
+            "roots",
+        )
+        if roots.isEmpty():
+            return leaves.select("vec_id", "dim", "leaf")
 
 
 def _compare(group: Iterator[pd.DataFrame], limit: float) -> pd.DataFrame:
@@ -193,17 +252,19 @@ def _compare(group: Iterator[pd.DataFrame], limit: float) -> pd.DataFrame:
         return pd.DataFrame({"a": [], "b": [], "n": []})
     hit = hit[np.ix_(rows, cols)]
     ids_a, ids_b = left["vec_id"].to_numpy()[rows], right["vec_id"].to_numpy()[cols]
-    homes = [[x[x < leaf] for x in side["leaves"].to_numpy()[at]]
-             for side, at in ((left, rows), (right, cols))]
-    known = np.unique(np.concatenate([np.concatenate(h) for h in homes]))
-    if len(known):
-        marks = []
-        for home in homes:
-            m = np.zeros((len(home), len(known)), np.float32)
-            for i, x in enumerate(home):
-                m[i, np.searchsorted(known, x)] = 1
-            marks.append(m)
-        hit &= marks[0] @ marks[1].T == 0
+    homes = []
+    for side, at in ((left, rows), (right, cols)):
+        own = [x[x < leaf] for x in side["leaves"].to_numpy()[at]]
+        where = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        known = np.concatenate(own)
+        order = np.argsort(known, kind="stable")
+        homes.append((known[order], where[order]))
+    (known_a, where_a), (known_b, where_b) = homes
+    shared = np.intersect1d(known_a, known_b)
+    from_a, to_a = (np.searchsorted(known_a, shared, side) for side in ("left", "right"))
+    from_b, to_b = (np.searchsorted(known_b, shared, side) for side in ("left", "right"))
+    for k in range(len(shared)):
+        hit[np.ix_(where_a[from_a[k] : to_a[k]], where_b[from_b[k] : to_b[k]])] = False
     weight_a, weight_b = left["copies"].to_numpy()[rows], right["copies"].to_numpy()[cols]
     count_a = hit @ weight_b
     parts = [pd.DataFrame({"a": ids_a, "b": ids_a, "n": count_a})]
@@ -231,21 +292,24 @@ def _compare(group: Iterator[pd.DataFrame], limit: float) -> pd.DataFrame:
 def near_duplicate_vectors(
     vectors: DataFrame,
     cosine: float = 0.95,
-    trees: int = 4,
+    trees: int = 8,
     leaf: int = 1536,
     spill: float = 0.16,
     block: int = 2048,
     sample: int = 4096,
+    loss: float = 1e-4,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Vectors are linked when their cosine, in double precision, reaches ``cosine``. Candidates share
-    a leaf in one of ``trees`` trees; ``spill`` is the half-width of the overlap in units of a
+    a leaf in one of at least ``trees`` trees; ``spill`` is the half-width of the overlap in units of a
     projection's standard deviation for unit vectors along it (directions are not normalised).
     Cuts are medians of about ``sample`` vectors of a node; every vector is placed. All links
-    inside leaves are verified; below ``cosine`` there are none.
+    inside leaves are verified; below ``cosine`` there are none. The share of pairs at ``cosine``
+    that a cut parts is estimated from its sample, and vectors get as many trees as keep their
+    estimated loss of such pairs at or below ``loss``, whatever the table's size and density.
 
     Equal vectors are compared once and counted as often as they occur. A leaf that cannot be
     split is compared in pairs of blocks of ``block`` vectors, a task each; what leaves a task is
@@ -273,7 +337,8 @@ def near_duplicate_vectors(
         .select("vec_id", "dim", "v", "copies"),
         "heads",
     )
-    leaves = stored(_leaves(heads, trees, leaf, spill, sample).distinct(), "leaves")
+    gap = math.sqrt(2 * max(1 - cosine, 1e-9))
+    leaves = _forest(heads, trees, loss, leaf, spill, gap, sample)
     sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     homes = leaves.groupBy("vec_id").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
     blocks = F.ceil(F.col("size") / block).cast("int")

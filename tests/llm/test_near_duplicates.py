@@ -156,3 +156,27 @@ def test_equal_vectors_of_two_lengths_under_one_id(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [
         (1, 2, 1), (1, 2, 1), (2, 1, 1), (3, 1, 1)
     ]
+
+
+def test_loss_stays_below_its_bound_in_a_dense_group(spark):
+    """Vectors of mean cosine 0.88 in small leaves: cuts part many pairs, so more trees are grown."""
+    rng = np.random.default_rng(8)
+    x = np.sqrt(0.88) * np.eye(24)[0] + np.sqrt(0.12 / 23) * rng.standard_normal((1200, 24))
+    x = np.concatenate([x, rng.standard_normal((300, 24))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = embeddings.near_duplicate_vectors(vectors_of(spark, rows), leaf=64, block=256).collect()
+    x = x.astype(np.float32).astype(float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = unit @ unit.T >= 0.95
+    np.fill_diagonal(hit, False)
+    assert hit.sum() > 1000
+    # Two ends for each lost pair; two pairs beyond the expected number are left to chance.
+    assert 0 <= hit.sum() - sum(r.n_links for r in found) <= 1e-4 * hit.sum() + 4
+
+
+def test_split_rate_of_a_normal_projection():
+    rng = np.random.default_rng(9)
+    p = rng.standard_normal(400_000)
+    partner = p + np.sqrt(0.1) * rng.standard_normal(len(p))
+    parted = ((p <= -0.16) & (partner > 0.16)) | ((p > 0.16) & (partner <= -0.16))
+    assert abs(embeddings._split_rate(p, 0.16, np.sqrt(0.1)) - parted.mean()) < 1e-3
