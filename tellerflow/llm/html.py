@@ -53,6 +53,7 @@ class Token:
     text: str = ""
     block: bool = False
     inside: bool = False
+    off: bool = False
 
 
 @dataclass
@@ -61,12 +62,11 @@ class Weights:
     tags: dict[str, float] = field(default_factory=dict)
 
     def of(self, token: Token) -> float:
-        """Words score positive and tags negative, except words in parts known as no article."""
+        """Words score positive and tags negative, unless learned otherwise; asides score 0."""
+        if token.off:
+            return 0.0
         if token.words:
-            known = self.words.get(token.kind)
-            if known is None:
-                return -WORD if token.kind.startswith("-") else WORD
-            return known
+            return self.words.get(token.kind, WORD)
         return min(self.tags.get(token.kind, TAG), -0.05)
 
 
@@ -103,17 +103,19 @@ def tokens(page: str | None) -> list[Token]:
             if words or text:
                 off = any(s[1] for s in stack)
                 near = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
-                out.append(Token(("-" if off else "+") + near, words, text, inside=article > 0 and not off))
+                out.append(Token(("-" if off else "+") + near, words, text,
+                                 inside=article > 0 and not off, off=off))
             continue
         tag = tag.lower()
         if m.group("end"):
+            off = any(s[1] for s in stack)
             if any(s[0] == tag for s in stack):
                 while True:
                     name, _ = stack.pop()
                     article -= name in ("article", "main")
                     if name == tag:
                         break
-            out.append(Token("/" + tag, block=tag in BLOCKS, inside=article > 0))
+            out.append(Token("/" + tag, block=tag in BLOCKS, inside=article > 0, off=off))
             continue
         rest = m.group("rest")
         if tag in RAW:
@@ -132,11 +134,12 @@ def tokens(page: str | None) -> list[Token]:
             stack.append((tag, _aside(tag, rest, article > 0)))
             article += tag in ("article", "main")
         elif tag == "br":
-            out.append(Token("+br", 0, " ", inside=article > 0))
+            out.append(Token("+br", 0, " ", inside=article > 0, off=any(s[1] for s in stack)))
             continue
         off = any(s[1] for s in stack)
         out.append(
-            Token(("-" if off else "") + tag, block=tag in BLOCKS, inside=article > 0 and not off)
+            Token(("-" if off else "") + tag, block=tag in BLOCKS, inside=article > 0 and not off,
+                  off=off)
         )
     return out
 
@@ -144,8 +147,8 @@ def tokens(page: str | None) -> list[Token]:
 def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region, joined by an empty line; empty if no region scores above 0.
 
-    Asides, forms and the like inside the region are left out of the text. They count against it,
-    so an end of the article that is shorter than the aside before it is cut off.
+    Asides, forms and the like inside the region are left out of the text and score nothing; all
+    else inside it is text, whatever the score of its kind.
     """
     found = tokens(page)
     if not found:
@@ -163,7 +166,7 @@ def main_text(page: str | None, weights: Weights) -> str:
         if t.block:
             blocks.append("".join(now))
             now = []
-        elif t.text and (not t.words or weights.of(t) > 0):
+        elif t.text and not t.off:
             now.append(t.text)
     blocks.append("".join(now))
     blocks = [" ".join(html.unescape(b).split()) for b in blocks]

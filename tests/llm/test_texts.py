@@ -208,6 +208,23 @@ def test_every_test_page_gives_its_article(spark):
         assert r.text == "\n\n".join(b for b in blocks if b)
 
 
+def test_long_asides_and_lists_lose_no_article_text(spark):
+    """Asides longer than the lead and the ending, and lists that mostly stand outside articles."""
+    aside = "<aside><p>" + "advert words " * 60 + "</p></aside>"
+    links = "<ul>" + "<li>link with words</li>" * 12 + "</ul>"
+    page = (f"{links}<article><p>A short lead of six words.</p>{aside}<p>" + "body " * 50 + "</p>"
+            f"<ul><li>One inner point</li></ul><p>" + "more " * 20 + f"</p>{aside}"
+            f"<p>A short ending.</p></article>{links}")
+    df = spark.createDataFrame([(i, "u", page) for i in range(20)],
+                               "page_id long, url string, html string")
+    weights = html.fit(df)
+    assert weights.words["+li"] < 0
+    want = ["A short lead of six words.", ("body " * 50).strip(), "One inner point",
+            ("more " * 20).strip(), "A short ending."]
+    for w in (weights, html.Weights(words={"+li": -1.0})):
+        assert html.main_text(page, w) == "\n\n".join(want)
+
+
 def test_host_path_and_rules(spark):
     cases = {
         None: ("", "", None), "": ("", "", None), "no scheme": ("", "", None),
