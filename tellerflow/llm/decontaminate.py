@@ -96,15 +96,16 @@ def leaks(
     blocks that near are looked up by equality. Candidates are then verified on their shingles.
 
     Null texts and texts or items under five words leak nothing. Repeated documents or items give
-    one row per pair of ids. Rows without an id are reported with a null id. Extra columns are
-    ignored, whatever their names.
+    one row per pair of ids. Documents and items without an id are told apart by their text and
+    reported with a null id, a row for each. Extra columns are ignored, whatever their names.
     """
     items = stored(
         benchmark.select(
             F.col(item_col).alias("item_id"), _shingles(F.col(item_text_col)).alias("item")
         )
-        .filter("item_id IS NOT NULL AND size(item) > 0")
+        .filter("size(item) > 0")
         .distinct()
+        .withColumn("item_key", F.xxhash64(F.col("item_id").cast("string"), "item"))
         .withColumn("span", F.size("item"))
         .withColumn("item_print", _simhash(F.col("item"))),
         "items",
@@ -161,24 +162,23 @@ def leaks(
     )
     blocks = F.posexplode(F.array(*(_block(F.col("item_print"), i) for i in range(BLOCKS))))
     lookup = (
-        items.select("item_id", "span", "item_print", "item", blocks.alias("block", "value"))
+        items.select("item_key", "span", "item_print", blocks.alias("block", "value"))
         .withColumn("value", F.explode(near))
     )
     ours = F.posexplode(F.array(*(_block(F.col("print"), i) for i in range(BLOCKS))))
     apart = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     candidates = (
         printed.select("doc_id", "row", "span", "start", "print", ours.alias("block", "value"))
-        .join(_sent(lookup.select("item_id", "span", "item_print", "block", "value")),
-              ["span", "block", "value"])
+        .join(_sent(lookup), ["span", "block", "value"])
         .filter(apart <= RADIUS)
-        .select("row", "span", "start", "item_id", apart.alias("hamming"))
+        .select("row", "span", "start", "item_key", apart.alias("hamming"))
         .distinct()
     )
     shared = _common(F.col("window"), F.col("item"))
     found = (
         candidates.join(printed.select("doc_id", "row", "span", "start", "window"),
                         ["row", "span", "start"])
-        .join(items.select("item_id", "span", "item"), ["item_id", "span"])
+        .join(items.select("item_key", "item_id", "span", "item"), ["item_key", "span"])
         .withColumn("shared", shared)
         .withColumn("similarity",
                     F.col("shared") / (F.size("window") + F.size("item") - F.col("shared")))
@@ -188,7 +188,9 @@ def leaks(
         F.struct("start", F.col("span").alias("n_words"), "hamming", "similarity", "row"),
         F.struct("similarity", -F.col("start"), -F.col("span"), "row"),
     )
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+    no_doc, no_item = (F.when(F.col(i).isNull(), F.col(own)).alias(f"no_{i}")
+                       for i, own in (("doc_id", "row"), ("item_id", "item_key")))
+    return found.groupBy("doc_id", "item_id", no_doc, no_item).agg(best.alias("b")).select(
         "doc_id",
         "item_id",
         F.col("b.start").cast("long").alias("start"),

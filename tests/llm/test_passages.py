@@ -117,3 +117,17 @@ def test_leaks_without_ids_and_empty(spark, docs):
     assert sorted(left, key=str) == [(5, "clean"), (None, "clean")]
     assert decontaminate.leaks(docs(), bench).count() == 0
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0
+
+
+def test_leaks_of_several_documents_and_items_without_ids(spark, docs):
+    first, second = "one two three four five six", "red green blue white black grey"
+    third = "north south east west up down"
+    bench = spark.createDataFrame([(1, first), (None, second), (None, third)],
+                                  "item_id long, text string")
+    df = docs((None, first), (None, f"{first} tail"), (None, f"{second} and {third}"), (4, second),
+              (5, "clean"), (None, "clean"))
+    found = [(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()]
+    assert sorted(found, key=str) == sorted(
+        [(None, 1), (None, 1), (None, None), (None, None), (4, None)], key=str)
+    left = [(r.doc_id, r.text) for r in decontaminate.clean(df, bench).collect()]
+    assert sorted(left, key=str) == [(5, "clean"), (None, "clean")]
