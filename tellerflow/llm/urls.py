@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellerflow.llm.common import stored
@@ -41,9 +41,7 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
 def template_verdicts(
     urls: DataFrame,
     labelled: DataFrame,
-    depth: int = 6,
     support: int = 5,
-    share: float = 0.02,
     similar: float = 1.96,
     smoothing: float = 10.0,
     reject: float = 0.5,
@@ -51,9 +49,10 @@ def template_verdicts(
     """(host, path, template, bad_share, verdict) per distinct host and path of ``urls``.
 
     ``urls`` has host and path; ``labelled`` has host, path and bad (boolean), a row per label.
-    Level by level, a segment of a node stays literal if it has at least ``support`` pages and
-    ``share`` of the node's; all others of the node become one wildcard. Segments beyond ``depth``
-    become the wildcard ``**``. A branch whose bad share differs from its parent's by less than
+    Level by level, a segment of a node stays literal if it has at least ``support`` pages and as
+    many labels, however large the node is; all others of the node become one wildcard. Segments
+    below the last level at which a host has that many left become the wildcard ``**``. A branch
+    whose bad share differs from its parent's by less than
     ``similar`` standard errors, or that has no labels, is merged into the parent; so a page is
     judged by its deepest branch that does differ, or by its host. That branch is blocked if
     (bad + smoothing * overall share) / (labels + smoothing) reaches ``reject``.
@@ -72,15 +71,24 @@ def template_verdicts(
                 F.array(F.lit("")).alias("branches")),
         "nodes",
     )
+    deeper = Window.partitionBy("host").orderBy(F.desc("size"))
+    left = [F.sum(c).over(deeper) >= support for c in ("n", "labels")]
+    depth = (
+        nodes.groupBy("host", F.size("s").alias("size"))
+        .agg(F.sum("n").alias("n"), F.sum("labels").alias("labels"))
+        .select("size", (left[0] & left[1]).alias("enough"))
+        .filter("enough").agg(F.max("size")).first()[0]
+    ) or 0
     for level in range(depth):
         here = nodes.filter(F.size("s") > level).withColumns(
             {"segment": F.get("s", F.lit(level)), "t": F.element_at("branches", -1)}
         )
-        counts = here.groupBy("host", "t", "segment").agg(F.sum("n").alias("pages"))
-        total = counts.groupBy("host", "t").agg(F.sum("pages").alias("total"))
-        literal = (F.col("pages") >= support) & (F.col("pages") >= share * F.col("total"))
-        named = counts.join(total, ["host", "t"]).filter(literal).select(
-            "host", "t", "segment", F.lit(True).alias("literal"))
+        named = (
+            here.groupBy("host", "t", "segment")
+            .agg(F.sum("n").alias("pages"), F.sum("labels").alias("known"))
+            .filter((F.col("pages") >= support) & (F.col("known") >= support))
+            .select("host", "t", "segment", F.lit(True).alias("literal"))
+        )
         step = F.when(F.col("literal"), F.col("segment")).otherwise("*")
         grown = here.join(named, ["host", "t", "segment"], "left").withColumn(
             "branches", F.concat("branches", F.array(F.concat("t", F.lit("/"), step))))

@@ -257,3 +257,16 @@ def test_impure_templates_are_rejected(spark):
     assert {(r.template, r.verdict, r["count"]) for r in found} == {
         ("/news/*", "allow", 400), ("/misc/*", "allow", 400), ("/spam/*", "block", 400)
     }
+
+
+def test_small_and_deep_sections_of_a_large_host_have_branches(spark):
+    """60 sections of a host, none with 2% of it, and two that differ in the eighth segment only."""
+    rows = [(f"http://h.net/s{k}/{i}", k == 7) for k in range(60) for i in range(40)]
+    rows += [(f"http://h.net/{i}/b/c/d/e/f/g/{kind}/{i}", kind == "x")
+             for kind in "xy" for i in range(30)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    pages = labelled.selectExpr("monotonically_increasing_id() AS page_id", "url")
+    found = urls.judge(pages, [], labelled).collect()
+    bad = {url.removeprefix("http://h.net"): b for url, b in rows}
+    assert len(found) == len(rows)
+    assert all((r.verdict == "block") == bad[r.path] for r in found)
