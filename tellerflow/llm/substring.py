@@ -17,9 +17,10 @@ from tellerflow.llm.common import MULTIPLIER, mix, ngram_hashes, stored, word_ha
 MIN_WORDS = 20
 SEED_WORDS = 6
 
-# A place is start << 20 | windows << 16 | 16 bits of the text's hash. Rows that share an id are
+# A place is start << 32 | windows << 16 | 16 bits of the text's hash, a span being cut where its
+# windows fill their bits. Rows that share an id are
 # told apart by those bits; places are ordered by their start alone.
-_START, _COUNT = 20, 16
+_START, _COUNT, _MOST = 32, 16, 0xFFFF
 _INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -56,10 +57,11 @@ class _Text:
 
     def spans(self) -> tuple[np.ndarray, ...]:
         """Maximal runs of windows with one anchor: anchor hash, content hash, place."""
-        turn = np.flatnonzero(np.diff(self.anchor)) + 1
+        part = (self.anchor - np.arange(self.windows)) // _MOST
+        turn = np.flatnonzero((np.diff(self.anchor) != 0) | (np.diff(part) != 0)) + 1
         start = np.concatenate([np.zeros(1, np.int64), turn])
         last = np.concatenate([turn, np.full(1, self.windows)]) - 1
-        shape = ((self.anchor[start] - start) << 8 | (last - start)).astype(np.uint64)
+        shape = ((self.anchor[start] - start) << 32 | (last - start)).astype(np.uint64)
         content = mix(self.run(start, last + self.length) + shape)
         place = (start << _START) | ((last - start + 1) << _COUNT) | self.tag
         return self.anchor_hash[start], content, place
@@ -67,7 +69,7 @@ class _Text:
     def single(self, places: np.ndarray) -> tuple[np.ndarray, ...]:
         """The windows of the given spans of this text, one by one."""
         places = places[(places & 0xFFFF) == self.tag]
-        count = (places >> _COUNT) & 0xF
+        count = (places >> _COUNT) & _MOST
         start = np.repeat(places >> _START, count)
         start += np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)
         content = self.run(start, start + self.length)
@@ -199,7 +201,7 @@ def dedup_substrings(
                     start = found >> _START
                     edge = np.zeros(n + 1, np.int64)
                     np.add.at(edge, start, 1)
-                    np.add.at(edge, start + ((found >> _COUNT) & 0xF) - 1 + length, -1)
+                    np.add.at(edge, start + ((found >> _COUNT) & _MOST) - 1 + length, -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:n]) == 0)]
                 kept = b" ".join(words)
                 out[0].append(n)

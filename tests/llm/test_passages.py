@@ -47,6 +47,23 @@ def test_repeated_runs(spark, docs):
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in found)
 
 
+def test_repeated_runs_of_other_lengths(spark, docs):
+    """More windows to an anchor than 15, the most at the default length."""
+    rng = random.Random(12)
+    passages = [[f"p{rng.randrange(400)}" for _ in range(rng.randrange(60, 140))] for _ in range(5)]
+    texts = []
+    for _ in range(40):
+        part = rng.choice(passages)
+        lead = [f"q{rng.randrange(400)}" for _ in range(rng.randrange(30))]
+        texts.append(" ".join(lead + part[rng.randrange(10):]))
+    numbered = list(enumerate(texts))
+    for length in (21, 50):
+        found = substring.dedup_substrings(docs(*numbered), length).collect()
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == brute_cut(
+            numbered, length
+        )
+
+
 def test_runs_without_ids_repeats_and_empty(spark, docs):
     text = " ".join(f"t{i}" for i in range(25))
     df = docs((None, text), (7, text), (7, text), (8, text), (9, "z " + text))
