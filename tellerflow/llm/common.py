@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator
 from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own_folder: dict[str, str] = {}
@@ -51,6 +54,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with its place 0, 1, 2, ... among all rows in ``name``.
+
+    Rows are dealt out by ranges of ``order`` and sorted there; a stored table fixes their places.
+    Only the row counts of the ranges, one row a partition, meet in one task.
+    """
+    at = F.monotonically_increasing_id()
+    placed = stored(df.orderBy(*order).withColumn("__at", at), name)
+    part = F.shiftrightunsigned("__at", 33)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("__n").over(before), F.lit(0))
+    place = F.col("__at").bitwiseAND((1 << 33) - 1) + F.col("__first")
+    return (
+        placed.withColumn("__part", part)
+        .join(F.broadcast(sizes.select("__part", first.alias("__first"))), "__part")
+        .withColumn(name, place)
+        .select(*df.columns, name)
+    )
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts whose texts take about ``size`` bytes together; a
+    longer text is alone. What a task holds beside the batch then follows the part."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths.astype(np.int64)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
+    for first, last in zip(cuts, cuts[1:]):
+        if last > first:
+            yield batch.slice(first, last - first)
+
+
 # Words are maximal runs of anything but U+0020 and U+0009 to U+000D, which is how bytes.split()
 # divides; bytes.lower() folds A-Z only.
 

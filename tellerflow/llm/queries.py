@@ -17,6 +17,8 @@ from tellerflow.llm import (
     lm,
     minhash,
     packing,
+    resample,
+    spelling,
     substring,
     tokens,
     urls,
@@ -118,12 +120,22 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10
+    ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), slip=199))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     numbered = (
         op1_embedding_neardup, op2_url_filter, op3_decontaminate, op4_packing,
         op5_minhash_neardup, op6_language_id, op7_substring_dedup, op8_token_count,
-        op9_html_extract, op10_lm_score,
+        op9_html_extract, op10_lm_score, op11_importance_resample, op13_spelling_groups,
     )
     return {"pipeline": corpus_pipeline.run} | {q.__name__: q for q in numbered}

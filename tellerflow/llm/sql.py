@@ -77,8 +77,95 @@ def _repeats() -> str:
           sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept"""
 
 
+# CRC-32 of UTF-8 bytes: the table of the 256 byte steps, and a text's bytes taken through it.
+_CRC_TABLE = """(SELECT list(list_reduce(range(8), lambda x, i: CASE WHEN x % 2 = 1
+          THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, b) ORDER BY b) AS t FROM range(256) r(b))"""
+_CRC = """xor(list_reduce(list_transform(range(0, octet_length(encode({text}))),
+            lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INT), 2) AS BIGINT)),
+          lambda x, b: xor(x >> 8, t[CAST(xor(x, b) & 255 AS INT) + 1]), 4294967295), 4294967295)"""
+
+
+def _resampled() -> str:
+    """Buckets of the distinct words, gains, weights, and a window over all scores."""
+    words = f"""regexp_extract_all({_FOLD.format(text="coalesce(text, '')")},
+          '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+    return f"""
+        WITH crc AS {_CRC_TABLE},
+        d AS (SELECT doc_id, {words} AS w FROM documents),
+        dw AS (SELECT doc_id, unnest(w) AS w FROM d),
+        bw AS (SELECT unnest(w) AS w FROM (SELECT {words} AS w FROM benchmark)),
+        v AS (SELECT w, {_CRC.format(text="w")} % 10000 AS b
+              FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc),
+        s AS (SELECT b, count(*) AS n FROM dw JOIN v USING (w) GROUP BY b),
+        t AS (SELECT b, count(*) AS n FROM bw JOIN v USING (w) GROUP BY b),
+        gain AS (
+          SELECT b, floor(1000 * ln(
+            CAST((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM dw) + 10000) AS DOUBLE)
+            / CAST((coalesce(s.n, 0) + 1) * ((SELECT count(*) FROM bw) + 10000) AS DOUBLE))) AS g
+          FROM (SELECT DISTINCT b FROM v) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+        weight AS (SELECT doc_id, sum(g) AS g FROM dw JOIN v USING (w) JOIN gain USING (b) GROUP BY doc_id),
+        scored AS (
+          SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features,
+            CAST(coalesce(g, 0) AS BIGINT) AS weight,
+            CAST(coalesce(g, 0) + floor(-1000 * ln(-ln(
+              (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296)))
+              AS BIGINT) AS score
+          FROM d LEFT JOIN weight USING (doc_id)),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r
+          FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <=
+          (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) THEN r END AS rank
+        FROM placed"""
+
+
+def _spellings() -> str:
+    """Words with the planted slips, near words by their texts with one letter left out, and
+    forms followed by recursion."""
+    return f"""
+        WITH RECURSIVE crc AS {_CRC_TABLE},
+        run AS (
+          SELECT doc_id, r, count(*) AS n FROM (
+            SELECT doc_id, unnest(regexp_extract_all({_FOLD.format(text="coalesce(text, '')")},
+              '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS r FROM documents)
+          GROUP BY doc_id, r),
+        h AS (SELECT r, n, {_CRC.format(text="(doc_id || ':' || r)")} AS h FROM run, crc),
+        slip AS (
+          SELECT n, CASE WHEN h % 199 = 0
+            THEN substr(r, 1, CAST(h % length(r) AS INT)) || substr(r, CAST(h % length(r) AS INT) + 2)
+            ELSE r END AS word FROM h),
+        v AS (
+          SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slip WHERE length(word) >= 6
+          GROUP BY word HAVING sum(n) >= 5),
+        cut AS (
+          SELECT word, n, i, substr(word, 1, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)) AS c
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+        pair AS (
+          SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.c = b.c AND a.i = b.i
+          WHERE a.word <> b.word
+          UNION SELECT cut.word, v.word FROM cut JOIN v ON cut.c = v.word
+          UNION SELECT v.word, cut.word FROM cut JOIN v ON cut.c = v.word),
+        best AS (
+          SELECT a, count(*) AS n_near, arg_min(struct_pack(b := v.word, n := v.n), (-v.n, encode(v.word))) AS top
+          FROM pair JOIN v ON v.word = b GROUP BY a),
+        form AS (
+          SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+            CASE WHEN top.n >= 5 * v.n THEN top.b END AS form,
+            CASE WHEN top.n >= 5 * v.n THEN top.n END AS form_n
+          FROM v LEFT JOIN best ON best.a = v.word),
+        walk(word, last, step) AS (
+          SELECT word, word, 0 FROM form
+          UNION ALL SELECT walk.word, form.form, step + 1
+          FROM walk JOIN form ON form.word = walk.last WHERE form.form IS NOT NULL)
+        SELECT word, form, (SELECT arg_max(last, step) FROM walk w WHERE w.word = form.word) AS root,
+          n, CAST(n_near AS BIGINT) AS n_near, form_n
+        FROM form"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_importance_resample": _resampled(),
+        "op13_spelling_groups": _spellings(),
         "op1_embedding_neardup": _embedding_links(),
         "op5_minhash_neardup": _document_links(),
         "op7_substring_dedup": _repeats(),
