@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tellerflow.llm import (
     decontaminate,
     embeddings,
+    fingerprints,
     html,
     language,
     lm,
@@ -23,7 +24,7 @@ from tellerflow.llm import (
     tokens,
     urls,
 )
-from tellerflow.llm.common import send_code
+from tellerflow.llm.common import send_code, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +127,14 @@ def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints beside those of the half-edited texts, and the documents within 7 bits."""
+    rows = stored(fingerprints.half_edits(table(spark, sf_dir, "documents")), "fingerprints")
+    return fingerprints.with_near(rows, radius=7).withColumns(
+        {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    )
+
+
 def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), slip=199))
 
@@ -136,6 +145,7 @@ def queries() -> dict[str, Query]:
     numbered = (
         op1_embedding_neardup, op2_url_filter, op3_decontaminate, op4_packing,
         op5_minhash_neardup, op6_language_id, op7_substring_dedup, op8_token_count,
-        op9_html_extract, op10_lm_score, op11_importance_resample, op13_spelling_groups,
+        op9_html_extract, op10_lm_score, op11_importance_resample,
+        op12_document_fingerprints, op13_spelling_groups,
     )
     return {"pipeline": corpus_pipeline.run} | {q.__name__: q for q in numbered}
