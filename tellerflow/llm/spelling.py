@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tellerflow.llm.common import MULTIPLIER, mix, stored
+from tellerflow.llm.common import MULTIPLIER, mix, slices, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUNS = "([A-Za-z\\u00C0-\\u00FF]+)"
@@ -52,74 +52,92 @@ def word_counts(
 # A word is walked from both ends, in direction 0 as it is and in direction 1 reversed. A node of
 # the trie is a prefix in one direction, named by its hash.
 
+_BACK = np.uint64(pow(int(MULTIPLIER), -1, 2**64))
 
-def _prefix_hashes(word: str, direction: int) -> np.ndarray:
-    letters = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    powers = np.cumprod(np.full(len(letters) + 1, MULTIPLIER))
+
+def _prefix_hashes(letters: np.ndarray, lengths: np.ndarray, direction: int) -> np.ndarray:
+    """Of words in a row, a hash for every prefix of each, the empty and the whole one included.
+
+    One running sum goes over all letters; the part before a word is taken off and its powers are
+    divided out, which is exact modulo 2**64 as the multiplier is odd.
+    """
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(letters), MULTIPLIER)]))
     upto = np.concatenate([[np.uint64(0)], np.cumsum((letters + np.uint64(1)) * powers[:-1])])
-    at = np.arange(len(upto), dtype=np.uint64) * np.uint64(2) + np.uint64(direction)
-    return mix(upto ^ mix(at + np.uint64(1)))
+    starts = np.cumsum(lengths) - lengths
+    backs = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(letters), _BACK)]))[starts]
+    word = np.repeat(np.arange(len(lengths)), lengths + 1)
+    depth = _depths(lengths)
+    total = (upto[starts[word] + depth] - upto[starts][word]) * backs[word]
+    return mix(total ^ mix(depth.astype(np.uint64) * np.uint64(2) + np.uint64(direction + 1)))
+
+
+def _depths(lengths: np.ndarray) -> np.ndarray:
+    """0 to n for each n."""
+    ends = np.cumsum(lengths + 1)
+    return np.arange(ends[-1]) - np.repeat(ends - lengths - 1, lengths + 1)
 
 
 def _positions(words: DataFrame) -> DataFrame:
-    """Every prefix of every word in both directions: id, direction, depth, node, next letter (""
-    at the end). Hashes run along the word, so a very long word costs its length only."""
+    """Every prefix of every word in both directions: id, direction, depth, node, and the code
+    point that follows, 0 at the end. A word costs its length, however long it is."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                size = len(word) + 1
-                for direction, letters in ((0, word), (1, word[::-1])):
-                    columns = [
-                        np.full(size, number), np.full(size, direction, np.int32),
-                        np.arange(size, dtype=np.int32),
-                        _prefix_hashes(letters, direction).view(np.int64),
-                    ]
+            for part in slices(batch, 1, 500_000):
+                found = part.column(1).to_pylist()
+                lengths = np.fromiter(map(len, found), np.int64, len(found))
+                ids = np.repeat(part.column(0).to_numpy(), lengths + 1)
+                forth = np.frombuffer("".join(found).encode("utf-32-le"), np.uint32)
+                # Read backwards, the letters of all words are the reversed words in reverse order.
+                for direction, letters, sizes, names in (
+                    (0, forth, lengths, ids), (1, forth[::-1], lengths[::-1], ids[::-1])
+                ):
+                    follows = np.insert(letters.astype(np.int32), np.cumsum(sizes), 0)
+                    nodes = _prefix_hashes(letters.astype(np.uint64), sizes, direction)
+                    columns = [names, np.full(len(names), direction, np.int32),
+                               _depths(sizes).astype(np.int32), nodes.view(np.int64), follows]
                     yield pa.RecordBatch.from_arrays(
-                        [*map(pa.array, columns), pa.array([*letters, ""], pa.string())],
-                        ["id", "direction", "depth", "node", "next"],
+                        list(map(pa.array, columns)), ["id", "direction", "depth", "node", "next"]
                     )
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for part in walk(batches):
-            held.append(part)
-            rows += part.num_rows
-            if rows >= 50_000:
-                yield pa.concat_batches(held)
-                held, rows = [], 0
-        if held:
-            yield pa.concat_batches(held)
-
     return words.select("id", "word").mapInArrow(
-        joined, "id long, direction int, depth int, node long, next string"
+        walk, "id long, direction int, depth int, node long, next int"
     )
 
 
+def _bit(letter: str) -> str:
+    """One of 63 bits for a code point; different letters may share one."""
+    return f"shiftleft(1L, {letter} % 63)"
+
+
 def _paths(words: DataFrame) -> DataFrame:
     """Of each word and direction the nodes it passes that are kept: id, direction, letters, path
-    of (depth, node). Kept are the root, prefixes followed by more than one letter, and words."""
+    of (depth, node, word, nexts). Kept are the root, prefixes followed by more than one letter, and
+    words; ``nexts`` has the bits of the letters that follow."""
     positions = stored(_positions(words), "positions")
     kept = (
         positions.filter("depth > 0")
         .groupBy("node")
-        .agg(F.min("next").alias("lo"), F.max("next").alias("hi"))
-        .filter("lo != hi OR lo = ''")
-        .select("node")
+        .agg(F.min("next").alias("lo"), F.max("next").alias("hi"),
+             F.bit_or(F.expr(_bit("next"))).alias("nexts"))
+        .filter("lo != hi OR lo = 0")
+        .select("node", (F.col("lo") == 0).alias("word"), "nexts")
     )
-    passed = positions.filter("depth > 0").join(kept, "node").unionByName(
-        positions.filter("depth = 0")
+    names = ["id", "direction", "depth", "node"]
+    passed = positions.filter("depth > 0").select(names).join(kept, "node").unionByName(
+        positions.filter("depth = 0").select(*names, F.lit(False).alias("word"), F.lit(0).alias("nexts"))
     )
     lists = passed.groupBy("id", "direction").agg(
-        F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("path")
+        F.sort_array(F.collect_list(F.struct("depth", "node", "word", "nexts"))).alias("path")
     )
     letters = F.when(F.col("direction") == 0, F.col("word")).otherwise(F.reverse("word"))
     return lists.join(words, "id").select("id", "direction", letters.alias("letters"), "path")
 
 
 def _edges(paths: DataFrame) -> DataFrame:
-    """The edge table: node, first letter, label, child. Labels span all letters up to the next
-    kept node, so a node has at most one edge per letter of the alphabet."""
+    """The edge table: node, first letter, label, child, whether that is a word, and the letters
+    after it. Labels span all letters up to the next kept node, so a node has at most one edge
+    per letter of the alphabet."""
     steps = F.arrays_zip(
         F.expr("slice(path, 1, size(path) - 1)").alias("a"), F.expr("slice(path, 2, size(path))").alias("b")
     )
@@ -129,6 +147,8 @@ def _edges(paths: DataFrame) -> DataFrame:
             F.col("s.a.node").alias("node"),
             F.expr("substring(letters, s.a.depth + 1, s.b.depth - s.a.depth)").alias("label"),
             F.col("s.b.node").alias("child"),
+            F.col("s.b.word").alias("word"),
+            F.col("s.b.nexts").alias("nexts"),
         )
         .distinct()
         .withColumn("first", F.substring("label", 1, 1))
@@ -147,6 +167,14 @@ def _hop(child: Column, used: Column, edits: Column) -> Column:
     )
 
 
+def _goes_on(used: Column) -> Column:
+    """Whether what follows ``used`` letters may follow the child too: a state with an edit that
+    could not take another step is not made."""
+    left = F.col("rest").substr(used + 1, F.lit(1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(left) % 63)
+    return F.when(left == "", F.col("word")).otherwise(F.col("nexts").bitwiseAND(bit) != 0)
+
+
 def _level(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     """All states one edge further.
 
@@ -155,16 +183,16 @@ def _level(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     stays. A state with an edit only follows the edge that its letters name.
     """
     size = F.length("label")
+    exact = F.startswith("rest", "label")
 
     def edited(more: int) -> Column:
         used = size + more
+        fits = (used >= 0) & (used <= F.length("rest")) & _goes_on(used)
         near = F.levenshtein(F.col("rest").substr(F.lit(1), used), "label", 1) == 1
-        return F.when((used >= 0) & (used <= F.length("rest")) & near,
-                      _hop(F.col("child"), used, F.lit(1)))
+        return F.when(fits & near, _hop(F.col("child"), used, F.lit(1)))
 
-    exact = F.startswith("rest", "label")
-    follow = F.when(exact, _hop(F.col("child"), size, F.col("edits")))
     open_ = frontier.filter("edits = 0")
+    follow = F.when(exact, _hop(F.col("child"), size, F.lit(0)))
     spread = open_.join(edges, "node").select(
         F.inline(F.array_compact(F.array(follow, *map(edited, (-1, 0, 1)))))
     )
@@ -173,7 +201,7 @@ def _level(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     )
     first = F.substring("rest", 1, 1)
     done = frontier.filter("edits = 1").withColumn("first", first).join(edges, ["node", "first"])
-    done = done.filter(exact).select(F.inline(F.array(follow)))
+    done = done.filter(exact & _goes_on(size)).select(F.inline(F.array(_hop(F.col("child"), size, F.lit(1)))))
     return spread.unionByName(dropped).unionByName(done).select(*_STATE)
 
 
