@@ -54,6 +54,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` with its place 0, 1, 2, ... among all rows in ``name``.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerflow.llm.common import numbered, slices, stored
+from tellerflow.llm.common import free_names, numbered, slices, stored
 
 # Letters and digits of ASCII and all bytes of other characters stay, A-Z lower-cased; what is
 # left of ASCII divides words.
@@ -227,8 +227,9 @@ def resample(docs: DataFrame, target: DataFrame, **options) -> DataFrame:
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     drawn = importance(docs, target, **options).filter("rank IS NOT NULL")
-    keys = drawn.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (
-        F.xxhash64(F.col(text_col).cast("string")) == F.col("__key")
+    number, key = free_names(docs, "__id", "__key")
+    keys = drawn.select(F.col("doc_id").alias(number), F.col("text_key").alias(key)).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(number)) & (
+        F.xxhash64(F.col(text_col).cast("string")) == F.col(key)
     )
     return docs.join(keys, same, "left_semi")

@@ -21,7 +21,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_one_query_per_operator():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == ["pipeline", *(f"op{i}" for i in range(1, 11))]
+    assert [n.split("_")[0] for n in names] == ["pipeline", *(f"op{i}" for i in range(1, 14))]
 
 
 def test_pipeline_stages(spark):
