@@ -1,13 +1,14 @@
 from tellerflow.sinks.catalog import PublishError, publish_staged, repair, save_table
 from tellerflow.sinks.files import write_csv
 from tellerflow.sinks.jdbc import write_table
-from tellerflow.sinks.targets import Target, add, replace
+from tellerflow.sinks.targets import Target, add, export, replace
 from tellerflow.sinks.shared import materialize, scratch
 
 __all__ = [
     "PublishError",
     "Target",
     "add",
+    "export",
     "materialize",
     "publish_staged",
     "repair",

@@ -38,6 +38,11 @@ def _write_exports(df: DataFrame, target: Target, mode: str) -> None:
         write_csv(df, target.csv, mode)
 
 
+def export(df: DataFrame, target: Target) -> None:
+    """Overwrite the sinks of ``target`` besides its table."""
+    _write_exports(df, target, "overwrite")
+
+
 def replace(frames: Sequence[tuple[DataFrame, Target]]) -> list[DataFrame]:
     """Overwrite every sink of every target; returns the frames as they can now be read.
 

@@ -1,0 +1,265 @@
+"""The store of releases: all tables at once, only what is touched, every batch once."""
+
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
+import helpers
+from tellerflow.operators import changes
+from tellerflow.plans import bank
+from tellerflow.plans.jobs import Entities
+from tellerflow.sinks import Target
+from tellerflow.sinks.releases import Change, ReleaseError, Store
+
+
+def frames(spark, first, last):
+    """Customers with two accounts each, and two transactions an account; one lone account."""
+    ids = range(first, last)
+    return Entities(
+        helpers.accounts(spark, *(
+            {"Account_ID": 10 * i + k, "Customer_ID": i} for i in ids for k in (0, 1)
+        ), {"Account_ID": 10 * first + 5, "Customer_ID": None}),
+        helpers.customers(spark, *({"Customer_ID": i, "Phone_Number": f"0{i}"} for i in ids)),
+        helpers.transactions(spark, *(
+            {"Transaction_ID": 100 * i + k, "Account_ID": 10 * i + k % 3} for i in ids for k in range(4)
+        ), {"Transaction_ID": 7, "Account_ID": None}),
+    )
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    store = bank.open_store(spark, str(tmp_path / "bank"), 16)
+    bank.replace_tables(store, frames(spark, 0, 40))
+    return store
+
+
+def listed(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "Account_ID long")
+
+
+def contents(rows, store, release=None):
+    return [rows(df) for df in bank.tables(store, release)]
+
+
+def expected_delete(rows, tables, deletes):
+    return [
+        rows(changes.delete_accounts(tables.accounts, deletes)),
+        rows(changes.delete_customers(tables.accounts, tables.customers, deletes)),
+        rows(changes.delete_transactions(tables.transactions, deletes)),
+    ]
+
+
+def files(store, table):
+    return set(store.rows(table, store.current()).inputFiles())
+
+
+def test_full_load_add_and_read_back(spark, store, rows):
+    want = [rows(a.unionByName(b)) for a, b in zip(frames(spark, 0, 40), frames(spark, 40, 50))]
+    release = bank.add_tables(store, frames(spark, 40, 50))
+    assert release.number == 2 and contents(rows, store) == want
+    store.register_views()
+    assert spark.sql("SELECT count(*) FROM accounts").first()[0] == 102
+    bank.replace_tables(store, frames(spark, 3, 4))
+    assert contents(rows, store) == [rows(df) for df in frames(spark, 3, 4)]
+    assert contents(rows, store, release) == want  # what was read stays
+
+
+def test_delete_equals_the_full_rewrite_and_leaves_other_files(spark, store, rows):
+    before = {t: files(store, t) for t in store.tables}
+    deletes = listed(spark, 50, 61, 5, 9999, 50)
+    want = expected_delete(rows, bank.tables(store), deletes)
+    release, unmatched = bank.remove_listed(store, deletes)
+    assert contents(rows, store) == want and rows(unmatched) == [(9999,)]
+    for table, old in before.items():
+        new = files(store, table)
+        assert len(new & old) >= len(old) - 3, table
+        assert new != old
+        kept = {f.bucket for f in release.of(table) if f.version == store_version(old)}
+        assert len(kept) >= 10
+
+
+def store_version(paths):
+    return next(iter(paths)).split("version=")[1].split("/")[0]
+
+
+def test_delete_reads_only_touched_buckets(spark, store, monkeypatch):
+    read = []
+    whole = Store.rows
+
+    def noted(self, table, release, buckets=None):
+        df = whole(self, table, release, buckets)
+        read.append((table, len(df.inputFiles()), buckets))
+        return df
+
+    monkeypatch.setattr(Store, "rows", noted)
+    bank.remove_listed(store, listed(spark, 50))
+    confined = [n for table, n, buckets in read if buckets is not None]
+    assert confined and max(confined) <= 2
+    assert [table for table, _, buckets in read if buckets is None] == ["accounts"]
+
+
+def test_nothing_to_delete_makes_no_release(spark, store):
+    release, _ = bank.remove_listed(store, listed(spark, 9999, None))
+    assert release.number == 1
+    updates = spark.createDataFrame([(1, "no", "1"), (2, "02", None)], "UCustomer_ID int, "
+                                    "Old_Phone_Number string, New_Phone_Number string")
+    assert bank.change_phone_numbers(store, updates).number == 1
+
+
+class Stopped(Exception):
+    pass
+
+
+def steps_of(monkeypatch, at, seen):
+    """Stop before the ``at``-th write of a run and look at the store before every write."""
+    count = 0
+
+    def watched(step):
+        def run(self, *args):
+            nonlocal count
+            seen()
+            if count == at:
+                raise Stopped
+            count += 1
+            return step(self, *args)
+
+        return run
+
+    monkeypatch.setattr(Store, "_write", watched(Store._write))
+    monkeypatch.setattr(Store, "_append", watched(Store._append))
+
+
+@pytest.mark.parametrize("at", range(4))
+def test_a_stopped_delete_changes_nothing_and_another_list_is_right(
+    spark, store, rows, monkeypatch, at
+):
+    old = contents(rows, store)
+    with monkeypatch.context() as patched:
+        steps_of(patched, at, lambda: None)
+        with pytest.raises(Stopped):
+            bank.remove_listed(store, listed(spark, 50, 61, 5))
+    assert contents(rows, store) == old
+    other = listed(spark, 71, 80)
+    want = expected_delete(rows, bank.tables(store), other)
+    bank.remove_listed(store, other)
+    assert contents(rows, store) == want
+
+
+def test_a_reader_between_any_two_steps_sees_all_old(spark, store, rows, monkeypatch):
+    old, seen = contents(rows, store), []
+    steps_of(monkeypatch, -1, lambda: seen.append(contents(rows, store)))
+    bank.remove_listed(store, listed(spark, 50, 61, 5))
+    assert seen == [old] * 4 and contents(rows, store) != old
+
+
+def test_a_file_that_failed_to_appear_is_no_release(spark, store, rows, tmp_path):
+    """What a run stopped inside the last write leaves: a folder of Spark's own, no file."""
+    old = contents(rows, store)
+    (tmp_path / "bank" / "releases" / "_temporary" / "0").mkdir(parents=True)
+    (tmp_path / "bank" / "releases" / "release=2").mkdir()
+    assert contents(rows, store) == old
+    assert bank.remove_listed(store, listed(spark, 50))[0].number == 2
+
+
+def test_a_second_writer_is_refused(spark, store, rows):
+    base = store.current()
+    bank.remove_listed(store, listed(spark, 50))
+    after = contents(rows, store)
+    with pytest.raises(ReleaseError, match="no longer the latest"):
+        store.publish({"customers": Change(frames(spark, 0, 1).customers)}, base)
+    assert contents(rows, store) == after
+
+
+def test_batches_come_in_once(spark, store, rows, monkeypatch):
+    more = frames(spark, 50, 55)
+    with monkeypatch.context() as patched:
+        steps_of(patched, 2, lambda: None)
+        with pytest.raises(Stopped):
+            bank.add_tables(store, more, "monday")
+    first = bank.add_tables(store, more, "monday")
+    assert bank.add_tables(store, more, "monday") == first
+    assert bank.incremental_load(store, Entities("no", "such", "files"), "monday") == first
+    with pytest.raises(ReleaseError, match="has the rows of batch monday"):
+        bank.add_tables(store, more, "tuesday")
+    assert bank.tables(store).customers.count() == 45
+    bank.remove_listed(store, listed(spark, 500))
+    assert store.current().batches.keys() == {"monday"}
+
+
+def test_update_rewrites_touched_buckets_only(spark, store, rows):
+    before = files(store, "customers"), files(store, "transactions")
+    updates = spark.createDataFrame(
+        [(3, "03", "93"), (4, "wrong", "94"), (5, "05", None), (6, None, "96"), (None, "06", "97")],
+        "UCustomer_ID int, Old_Phone_Number string, New_Phone_Number string",
+    )
+    want = rows(changes.update_phone_numbers(bank.tables(store).customers, updates))
+    bank.change_phone_numbers(store, updates)
+    assert rows(bank.tables(store).customers) == want
+    assert len(before[0] - files(store, "customers")) == 1
+    assert files(store, "transactions") == before[1]
+
+
+def test_vacuum_keeps_what_is_named_or_young(spark, store, rows, monkeypatch):
+    old_release = store.current()
+    old = contents(rows, store)
+    with monkeypatch.context() as patched:
+        steps_of(patched, 2, lambda: None)
+        with pytest.raises(Stopped):
+            bank.remove_listed(store, listed(spark, 50))
+    bank.remove_listed(store, listed(spark, 50, 61))
+    now = contents(rows, store)
+    assert store.vacuum(timedelta(days=1)) == 0
+    assert contents(rows, store, old_release) == old
+    later = datetime.now(timezone.utc) + timedelta(days=2)
+    removed = store.vacuum(timedelta(days=1), later)
+    assert removed >= 6 and contents(rows, store) == now
+    assert store.vacuum(timedelta(days=1), later) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        contents(rows, store, old_release)
+
+
+def test_empty_tables_and_other_bucket_counts(spark, tmp_path, rows):
+    store = bank.open_store(spark, str(tmp_path / "empty"), 4)
+    assert store.current().number == 0 and store.vacuum() == 0
+    assert contents(rows, store) == [[], [], []]
+    bank.replace_tables(store, Entities(*(df.limit(0) for df in frames(spark, 0, 1))))
+    assert store.current().number == 1 and contents(rows, store) == [[], [], []]
+    with pytest.raises(ReleaseError, match="has 4 buckets"):
+        bank.open_store(spark, str(tmp_path / "empty"), 8).current()
+    with pytest.raises(ValueError, match="names of folders"):
+        Store(spark, "x", [bank.Table("t", "Bucket int", ["Bucket"])])
+
+
+def test_hot_key_is_split_into_files(spark, tmp_path, conf):
+    """All rows in one bucket are still written by several tasks."""
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64k")
+    store = bank.open_store(spark, str(tmp_path / "hot"), 4)
+    rows = spark.range(60_000).selectExpr(
+        "id AS Transaction_ID", "1L AS Account_ID", "uuid() AS Transaction_Type",
+        "CAST(1 AS FLOAT) AS Amount", "DATE'2020-01-01' AS Transaction_Date",
+    )
+    store.publish({"transactions": Change(rows)})
+    assert len(store.rows("transactions", store.current()).inputFiles()) >= 4
+
+
+def test_csv_jobs_and_exports(spark, tmp_path, rows):
+    from test_jobs import write_batch
+
+    store = bank.open_store(spark, str(tmp_path / "bank"), 4)
+    paths = write_batch(tmp_path / "full", [{"Account_ID": 10}, {"Account_ID": 20, "Customer_ID": 2}],
+                        [{"Customer_ID": 1}, {"Customer_ID": 2, "Phone_Number": "02"}],
+                        [{"Account_ID": 10}, {"Account_ID": 20}])
+    bank.full_load(store, paths)
+    more = write_batch(tmp_path / "more", [{"Account_ID": 30, "Customer_ID": 3}], [{"Customer_ID": 3}], [])
+    bank.incremental_load(store, more, "more")
+    path = helpers.write_csv_file(tmp_path / "u.csv", ["UCustomer_ID", "Old_Phone_Number", "New_Phone_Number"],
+                                  [[2, "02", "92"]])
+    bank.update_customers(store, path)
+    path = helpers.write_csv_file(tmp_path / "d.csv", ["Account_ID"], [[10], [99]])
+    done = bank.delete_accounts(store, path)
+    assert helpers.column(done.unmatched, "Account_ID") == [99]
+    assert rows(done.left.customers.select("Customer_ID", "Phone_Number")) == [(2, "92"), (3, "01")]
+    targets = Entities(*(Target(csv=str(tmp_path / f"out_{n}")) for n in "act"))
+    bank.write_exports(store, targets)
+    bank.write_exports(store, targets, ["accounts"])
+    assert [spark.read.option("header", "true").csv(t.csv).count() for t in targets] == [2, 2, 1]
