@@ -192,6 +192,13 @@ def test_variants_follow_chains_and_break_ties(spark, rows):
     assert got["qqqqqq"] == (None, "qqqqqq", 5, 1, None)
 
 
+def test_variants_of_nothing_and_of_words_without_neighbours(spark, docs, rows):
+    given = docs(*((i, "lonely letters") for i in range(9)))
+    assert rows(spelling.variants(spelling.word_counts(given))) == [
+        ("letters", None, "letters", 9, 0, None), ("lonely", None, "lonely", 9, 0, None)]
+    assert rows(spelling.variants(spelling.word_counts(given.limit(3)))) == []
+
+
 def test_word_counts_with_planted_slips(docs, rows):
     text = "Naïve STRASSE ×÷ abc_Ünder42 naïve ÀÉ"
     given = [(i, text) for i in range(30)] + [(None, text), (3, None), (4, "")]
