@@ -1,13 +1,17 @@
 from tellerflow.sinks.catalog import PublishError, publish_staged, repair, save_table
 from tellerflow.sinks.files import write_csv
+from tellerflow.sinks.ledger import Ledger, LedgerError, add_once
 from tellerflow.sinks.jdbc import write_table
 from tellerflow.sinks.targets import Target, add, export, replace
 from tellerflow.sinks.shared import materialize, scratch
 
 __all__ = [
+    "Ledger",
+    "LedgerError",
     "PublishError",
     "Target",
     "add",
+    "add_once",
     "export",
     "materialize",
     "publish_staged",

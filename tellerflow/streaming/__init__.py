@@ -1,3 +1,7 @@
-from tellerflow.streaming.incremental import follow_accounts, follow_transactions
+from tellerflow.streaming.incremental import (
+    follow_accounts,
+    follow_customers,
+    follow_transactions,
+)
 
-__all__ = ["follow_accounts", "follow_transactions"]
+__all__ = ["follow_accounts", "follow_customers", "follow_transactions"]
