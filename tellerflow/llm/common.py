@@ -19,9 +19,16 @@ _own_folder: dict[str, str] = {}
 _sent_to: set[str] = set()
 
 
-def send_code(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, by Spark's own file distribution;
-    so the Python functions also run where the package is not on the workers' path."""
+#: Arrow data Spark hands to a Python function at once, unless the session says otherwise.
+BATCH_BYTES = "16m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the batches that Python functions get, and give the executors this package, once per
+    application, by Spark's own file distribution; so the functions also run where the package is
+    not on the workers' path."""
+    if (key := "spark.sql.execution.arrow.maxBytesPerBatch") not in spark.conf.getAll:
+        spark.conf.set(key, BATCH_BYTES)
     context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
     if context.applicationId in _sent_to or not package.is_dir():
         return
@@ -88,8 +95,8 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, column: int, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in order, in parts whose texts take about ``size`` bytes together; a
-    longer text is alone. What a task holds beside the batch then follows the part."""
+    """The rows of a batch in order, in parts whose texts take about ``size`` bytes together, or
+    one longer text. What a task holds beside the batch then follows the part."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths.astype(np.int64)) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
@@ -98,6 +105,24 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4_000_000) -> Iterato
             yield batch.slice(first, last - first)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from slices(batch, column)
+
+
+#: Ids that are broadcast, each of 8 bytes: some 64 MB in memory.
+BROADCAST_IDS = 4_000_000
+
+
+def rows_of(df: DataFrame, id_col: str, ids: DataFrame, inside: bool = True) -> DataFrame:
+    """The rows of ``df`` whose id is (or is not) in ``ids``, one column of stored distinct ids.
+    Few ids, by their count, are broadcast, and the rows stay where they are."""
+    (name,) = free_names(df, "__of")
+    ids = ids.toDF(name)
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return df.join(ids, F.col(id_col) == F.col(name), "left_semi" if inside else "left_anti")
+
+
 # Words are maximal runs of anything but U+0020 and U+0009 to U+000D, which is how bytes.split()
 # divides; bytes.lower() folds A-Z only.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerflow.llm.common import stored
+from tellerflow.llm.common import free_names, stored
 
 SHINGLE_WORDS = 5
 BLOCKS = 8
@@ -209,8 +209,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     """
     bad = leaks(docs, benchmark, similarity, id_col, text_col)
     named = stored(bad.select("doc_id", "row_key"), "leaks")
-    by_id = F.col(id_col) == F.col("__leak")
-    kept = docs.join(named.select(F.col("doc_id").alias("__leak")).distinct(), by_id, "left_anti")
-    no_id = named.filter("doc_id IS NULL").select(F.col("row_key").alias("__leak")).distinct()
-    same_row = F.col(id_col).isNull() & (row_key(id_col, text_col) == F.col("__leak"))
+    (leak,) = free_names(docs, "__leak")
+    by_id = F.col(id_col) == F.col(leak)
+    kept = docs.join(named.select(F.col("doc_id").alias(leak)).distinct(), by_id, "left_anti")
+    no_id = named.filter("doc_id IS NULL").select(F.col("row_key").alias(leak)).distinct()
+    same_row = F.col(id_col).isNull() & (row_key(id_col, text_col) == F.col(leak))
     return kept.join(no_id, same_row, "left_anti")

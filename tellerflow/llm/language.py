@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tellerflow.llm.common import free_names, sliced
+
 BITS = 16
 SIZE = 1 << BITS
 GRAMS = (1, 2, 3)
@@ -195,14 +197,14 @@ def identify(
     A text that is null or has no letter, or any text if the model knows no language, is ``und``
     with score 0. Ids may be null or repeat. Added columns replace input columns of their names.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    base = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    base = docs.select(*kept, F.col(text_col).cast("string").alias(*free_names(docs, "__text")))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema[:-1])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in sliced(batches, len(kept)):
             found = [own.predict(t) for t in batch.column(len(kept)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([f[0] for f in found], pa.string()),

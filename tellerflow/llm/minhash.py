@@ -9,7 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerflow.llm.common import components, mix, ngram_hashes, stored, word_hashes, words_of
+from tellerflow.llm.common import (
+    components,
+    mix,
+    ngram_hashes,
+    sliced,
+    stored,
+    word_hashes,
+    words_of,
+)
 
 SHINGLE_WORDS = 5
 _LEVEL_BITS = np.uint64(56)
@@ -90,7 +98,7 @@ def _bands(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             sets = [shingle_set(text) for text in batch.column(1).to_pylist()]
             first = [s.sum(dtype=np.uint64).view(np.int64) for s in sets]
             second = [mix(s ^ _EMPTY).sum(dtype=np.uint64).view(np.int64) for s in sets]
@@ -118,7 +126,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> DataFr
     """Full shingle sets of the documents in ``ids``."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             found = [shingle_set(t).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"]

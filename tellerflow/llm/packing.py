@@ -14,11 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerflow.llm.common import stored
+from tellerflow.llm.common import sliced, stored
 from tellerflow.llm.tokens import byte_letters, tokenizer
 
-#: Words a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Words a worker remembers before it starts anew; a word counts from its second occurrence on.
+REMEMBERED = 300_000
+_MET = 1 << 21
 _MERGED = 1 << 62
 _PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 
@@ -44,9 +45,9 @@ class _Encoder:
         self.special = {t.content[:2].encode() for t in own.get_added_tokens_decoder().values()}
 
         class Words(dict):
+            met = bytearray(_MET)
+
             def __missing__(self, word: bytes) -> bytes:
-                if len(self) > REMEMBERED:
-                    self.clear()
                 text = word.decode()
                 parts = _PLAIN.fullmatch(text.lower())
                 if parts:
@@ -54,8 +55,13 @@ class _Encoder:
                 else:
                     ids = own.encode(text, add_special_tokens=False).ids
                 data = array("I", ids).tobytes()
-                if len(word) < 100:
+                slot = hash(word) % _MET
+                if self.met[slot] and len(word) < 100:
+                    if len(self) >= REMEMBERED:
+                        self.clear()
+                        self.met = bytearray(_MET)
                     self[word] = data
+                self.met[slot] = 1
                 return data
 
         self.words = Words()
@@ -193,7 +199,7 @@ def pack(
         encode, end = _encoders[path].encode, np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         out, windows = _Rows(part << 32, with_ids), []
-        for batch in batches:
+        for batch in sliced(batches, 1):
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = encode(text) + end
                 for full in _place((doc, 0, ids, len(ids) // 4), windows, length, open_windows):

@@ -24,7 +24,7 @@ from tellerflow.llm import (
     tokens,
     urls,
 )
-from tellerflow.llm.common import send_code, stored
+from tellerflow.llm.common import prepare, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +35,7 @@ URL_RULES: list[urls.Rule] = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    send_code(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

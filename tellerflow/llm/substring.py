@@ -12,7 +12,17 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tellerflow.llm.common import MULTIPLIER, mix, ngram_hashes, stored, word_hashes, words_of
+from tellerflow.llm.common import (
+    MULTIPLIER,
+    free_names,
+    mix,
+    ngram_hashes,
+    rows_of,
+    sliced,
+    stored,
+    word_hashes,
+    words_of,
+)
 
 MIN_WORDS = 20
 SEED_WORDS = 6
@@ -76,12 +86,19 @@ class _Text:
         return self.anchor_hash[start], content, (start << _START) | (1 << _COUNT) | self.tag
 
 
-_ROW = "anchor long, content long, doc_id long, place long, again boolean"
+_ROW = "anchor long, content long, doc_id long, place long, again boolean, torn boolean"
 
+#: Contents of one anchor in a batch beyond which its spans are torn without asking the others.
+CROWD = 16
 
-def _found(parts: list[tuple], ids: list[int]) -> pa.RecordBatch | None:
+
+def _found(parts: list[tuple], ids: list[int], crowd: int = 0) -> pa.RecordBatch | None:
     """Rows of one batch. What repeats an earlier place of the batch needs no other proof: it is
-    marked, and its key replaced by one of its own, so that a hot key leaves a task as one row."""
+    marked, and its key replaced by one of its own, so that a hot key leaves a task as one row.
+
+    With ``crowd``, an anchor of more contents than that is known to be torn. Its spans are marked
+    so in the same way, but for the two of least and largest content: they tell the other batches.
+    """
     if not parts:
         return None
     anchor, content, place = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -92,26 +109,38 @@ def _found(parts: list[tuple], ids: list[int]) -> pa.RecordBatch | None:
     fresh[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
     head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
     again = (doc != doc[head]) | (place >> _START != place[head] >> _START)
-    anchor = np.where(again, mix(doc.view(np.uint64) * MULTIPLIER + place.view(np.uint64)), anchor)
-    content = np.where(again, np.uint64(0), content)
+    torn = np.zeros(len(doc), bool)
+    if crowd:
+        turn = np.concatenate([[0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, [len(doc)]])
+        contents = np.add.reduceat(fresh.astype(np.int64), turn[:-1])
+        torn = fresh & np.repeat(contents > crowd, np.diff(turn))
+        torn[turn[:-1]] = False
+        torn[head[turn[1:] - 1]] = False
+    known = again | torn
+    anchor = np.where(known, mix(doc.view(np.uint64) * MULTIPLIER + place.view(np.uint64)), anchor)
+    content = np.where(known, np.uint64(0), content)
+    columns = (anchor.view(np.int64), content.view(np.int64), doc, place, again, torn)
     return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (anchor.view(np.int64), content.view(np.int64), doc, place, again)],
-        ["anchor", "content", "doc_id", "place", "again"],
+        list(map(pa.array, columns)), ["anchor", "content", "doc_id", "place", "again", "torn"]
     )
 
 
+def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows with ``again`` also where an earlier one of equal ``keys`` is in another batch."""
+    at = F.struct("doc_id", F.shiftright("place", _START).alias("start"))
+    first = F.min(at).over(Window.partitionBy(*keys))
+    return rows.withColumn("first", first).withColumn("again", F.col("again") | (at > F.col("first")))
+
+
 def _judged(rows: DataFrame) -> DataFrame:
     """Rows with what the whole corpus says: ``again`` and, for first ones, ``torn`` if their
     anchor also occurs with other content."""
-    by_content = Window.partitionBy("anchor", "content")
     by_anchor = Window.partitionBy("anchor")
-    at = F.struct("doc_id", F.shiftright("place", _START).alias("start"))
     return (
-        rows.withColumn("first", F.min(at).over(by_content))
+        _repeated(rows.repartition("anchor"), "anchor", "content")
         .withColumn("low", F.min("content").over(by_anchor))
         .withColumn("high", F.max("content").over(by_anchor))
-        .withColumn("again", F.col("again") | (at > F.col("first")))
-        .withColumn("torn", ~F.col("again") & (F.col("low") < F.col("high")))
+        .withColumn("torn", ~F.col("again") & (F.col("torn") | (F.col("low") < F.col("high"))))
         .filter("again OR torn")
         .select("doc_id", "place", "again", "torn")
     )
@@ -127,7 +156,9 @@ def repeated_runs(
     windows have equal anchors at equal offsets. Consecutive windows of one anchor form a span.
     Spans are joined on the anchor: equal spans are matches extended to the full both ways;
     where an anchor occurs in unequal spans (at the ends of a match) their windows are joined one
-    by one. One copy of the spans of each batch is shuffled, whatever a passage's frequency.
+    by one. One copy of the spans of each batch is shuffled, whatever
+    a passage's frequency; of an anchor in many surroundings a batch sends no more than CROWD, as
+    its spans are torn for certain. Only texts with torn spans are shuffled for the second part.
     """
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
@@ -141,11 +172,11 @@ def repeated_runs(
                 if t.windows:
                     parts.append(t.spans())
                     ids.append(doc)
-            if (found := _found(parts, ids)) is not None:
+            if (found := _found(parts, ids, CROWD)) is not None:
                 yield found
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             parts, ids = [], []
             for doc, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rows = _Text(text, length, seed).single(np.unique(np.array(places, np.int64)))
@@ -157,9 +188,11 @@ def repeated_runs(
 
     spans = stored(_judged(texts.mapInArrow(scan, _ROW)), "spans")
     torn = spans.filter("torn").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    ends = _judged(texts.join(torn, "doc_id").mapInArrow(extend, _ROW))
+    torn = stored(torn, "torn")
+    texts = rows_of(texts, "doc_id", torn.select("doc_id"))
+    ends = _repeated(texts.join(torn, "doc_id").mapInArrow(extend, _ROW), "anchor", "content")
     return (
-        spans.unionByName(ends)
+        spans.unionByName(ends.select(spans.columns))
         .filter("again")
         .groupBy("doc_id")
         .agg(F.collect_list("place").alias("places"))
@@ -180,15 +213,17 @@ def dedup_substrings(
     keep all words. Rows that share an id count as copies at the same place: neither is earlier at
     an equal start. Added columns replace input columns of their names.
     """
-    runs = repeated_runs(docs, length, seed, id_col, text_col)
+    runs = stored(repeated_runs(docs, length, seed, id_col, text_col), "runs")
     added = ["n_words", "n_removed", "kept_text", "kept_sha256"]
-    kept_cols = [c for c in docs.columns if c not in added]
-    base = docs.select(*kept_cols)
-    schema = base.select("*").schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    kept_cols = [c for c in docs.columns if c.lower() not in added]
+    number, whole, listed = free_names(docs, "__id", "__text", "__places")
+    base = docs.select(
+        *kept_cols, F.col(text_col).cast("string").alias(whole), F.col(id_col).cast("long").alias(number)
+    )
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(kept_cols).schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, len(kept_cols)):
             out = [[], [], [], []]
             texts, places = batch.column(len(kept_cols)), batch.column(len(kept_cols) + 1)
             for text, found in zip(texts.to_pylist(), places.to_pylist(), strict=True):
@@ -214,10 +249,13 @@ def dedup_substrings(
                 [*batch.columns[: len(kept_cols)], *made], [*kept_cols, *added]
             )
 
-    keyed = base.withColumn("__id", F.col(id_col).cast("long"))
-    joined = keyed.join(runs.withColumnRenamed("doc_id", "__id"), "__id", "left").select(
-        *kept_cols, F.col(text_col).cast("string").alias("__text"), F.col("places").alias("__places")
+    # Texts without a run to remove are not shuffled.
+    ids = runs.select("doc_id")
+    joined = rows_of(base, number, ids).join(runs.toDF(number, listed), number)
+    others = rows_of(base, number, ids, inside=False).withColumn(
+        listed, F.lit(None).cast("array<long>")
     )
-    return joined.mapInArrow(
+    both = joined.select(*kept_cols, whole, listed).unionByName(others.select(*kept_cols, whole, listed))
+    return both.mapInArrow(
         cut, f"{fields}, n_words long, n_removed long, kept_text string, kept_sha256 string"
     )

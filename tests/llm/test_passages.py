@@ -4,7 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
-from tellerflow.llm import decontaminate, substring
+from tellerflow.llm import decontaminate, language, substring
 
 
 def brute_cut(texts, length):
@@ -64,6 +64,44 @@ def test_repeated_runs_of_other_lengths(spark, docs):
         )
 
 
+def test_a_phrase_in_unlike_surroundings(spark, docs, conf):
+    """One anchor with other content in every text, some of which share passages around it."""
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="60", spark__sql__files__maxPartitionBytes="16k")
+    rng = random.Random(13)
+    phrase = [f"common{i}" for i in range(8)]
+
+    def some(n):
+        return [f"r{rng.randrange(5000)}" for _ in range(n)]
+
+    passages = [some(30) + phrase + some(30) for _ in range(3)]
+    texts = [" ".join(some(20) + phrase + some(rng.randrange(30))) for _ in range(240)]
+    for i in range(0, 240, 9):
+        part = rng.choice(passages)
+        texts[i] = " ".join(some(3) + part[rng.randrange(25) : 40 + rng.randrange(20)] + some(5))
+    rng.shuffle(texts)
+    numbered = list(enumerate(texts))
+    found = substring.dedup_substrings(docs(*numbered).repartition(4)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == brute_cut(
+        numbered, 20
+    )
+    rows = substring._found([substring._Text(t, 20, 6).spans() for t in texts], list(range(240)), 16)
+    anchors = Counter(rows.column(0).to_pylist())
+    assert max(anchors.values()) <= 16
+
+
+def test_columns_named_like_helpers_and_results(spark, docs):
+    odd = docs((1, "a b c d e f g"), (2, None)).selectExpr(
+        "doc_id", "text", "1 AS N_Words", "2 AS __text", "3 AS __ID", "4 AS __leak", "5 AS Score",
+        "6 AS __places", "7 AS __of", "8 AS `Lang_Pred`")
+    found = substring.dedup_substrings(odd)
+    assert found.columns[-4:] == ["n_words", "n_removed", "kept_text", "kept_sha256"]
+    assert sorted(r["n_words"] for r in found.collect()) == [0, 7]
+    named = language.identify(odd, language.fit(odd.selectExpr("text", "'xx' AS lang")))
+    assert named.count() == 2 and named.columns[-2:] == ["lang_pred", "score"]
+    items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.clean(odd, items).collect()] == [2]
+
+
 def test_runs_without_ids_repeats_and_empty(spark, docs):
     text = " ".join(f"t{i}" for i in range(25))
     df = docs((None, text), (7, text), (7, text), (8, text), (9, "z " + text))
