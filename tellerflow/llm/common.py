@@ -110,8 +110,8 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
         yield from slices(batch, column)
 
 
-#: Ids that are broadcast, each of 8 bytes: some 64 MB in memory.
-BROADCAST_IDS = 4_000_000
+#: Ids that are broadcast; each takes some 60 bytes there, so 120 MB at most.
+BROADCAST_IDS = 2_000_000
 
 
 def rows_of(df: DataFrame, id_col: str, ids: DataFrame, inside: bool = True) -> DataFrame:
