@@ -70,27 +70,85 @@ class Weights:
         return min(self.tags.get(token.kind, TAG), -0.05)
 
 
-def _aside(tag: str, rest: str, in_article: bool) -> bool:
-    if tag in ASIDE or (tag == "header" and not in_article):
-        return True
+@dataclass
+class Element:
+    """An element and the tokens from its start tag to the one behind its end tag."""
+
+    tag: str
+    rest: str
+    start: int
+    in_article: bool
+    end: int = 0
+
+
+def _called(rest: str) -> tuple[bool, bool]:
+    """Whether a class, the id or the role of an element is a name of asides, and whether a part
+    of one is, as in "right-sidebar" or "comments-open"."""
+    whole = part = False
     for name, *value in _NAMES.findall(rest):
-        value = "".join(value).lower()
-        if name.lower() == "role":
-            if value.strip() in ASIDE_ROLES:
-                return True
-        elif ASIDE_NAMES & set(_PART.split(value)):
-            return True
-    return False
+        for word in "".join(value).lower().split():
+            if name.lower() == "role":
+                whole = whole or word in ASIDE_ROLES
+            elif word in ASIDE_NAMES:
+                whole = True
+            elif ASIDE_NAMES & set(_PART.split(word)):
+                part = True
+    return whole, part
 
 
-def tokens(page: str | None) -> list[Token]:
-    """Tags and words in page order. Scripts, styles, comments and declarations are left out."""
+def _asides(elements: list[Element], words: np.ndarray) -> list[Element]:
+    """The elements that are no part of the article. ``words``: their number before each token.
+
+    The page, its body and a ``<main>`` are never asides, nor is what holds a ``<main>`` or the
+    article that has the most words. A name of asides counts for any other element, the part of
+    one only for an element that has less than half of the page's words: else it is a container,
+    named after something it holds. A form that has half of them is one, too.
+    """
+
+    def size(e: Element) -> int:
+        return words[e.end] - words[e.start]
+
+    total = words[-1]
+    articles = [e for e in elements if e.tag == "article" and not _called(e.rest)[0]]
+    heart = [e for e in elements if e.tag == "main"]
+    heart += [max(articles, key=size)] if articles else []
+    found = []
+    for e in elements:
+        if e.tag in ("html", "body", "main") or any(
+            e.start <= h.start and h.end <= e.end for h in heart
+        ):
+            continue
+        whole, part = _called(e.rest)
+        most = 2 * size(e) >= total
+        if whole or (part and not most and e.tag != "article"):
+            found.append(e)
+        elif e.tag == "form" and most:
+            continue
+        elif e.tag in ASIDE or (e.tag == "header" and not e.in_article):
+            found.append(e)
+    return found
+
+
+def parse(page: str | None) -> tuple[list[Token], list[Element]]:
+    """Tags and words in page order, and the elements. Scripts, styles, comments and declarations
+    are left out."""
     if not page:
-        return []
+        return [], []
     out: list[Token] = []
-    stack: list[tuple[str, bool]] = []  # element, and whether it is no part of the article
+    near: list[str] = []
+    elements: list[Element] = []
+    stack: list[Element] = []
     at, end = 0, len(page)
-    article = 0
+
+    def close(keep: int) -> None:
+        for e in stack[keep:]:
+            e.end = len(out)
+        del stack[keep:]
+
+    def put(token: Token) -> None:
+        out.append(token)
+        near.append(next((e.tag for e in reversed(stack) if e.tag in BLOCKS), ""))
+
     while at < end:
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -99,68 +157,118 @@ def tokens(page: str | None) -> list[Token]:
             text = m.group()
             if text[0] == "<" and len(text) > 1:
                 continue
-            words = len(text.split())
-            if words or text:
-                off = any(s[1] for s in stack)
-                near = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
-                out.append(Token(("-" if off else "+") + near, words, text,
-                                 inside=article > 0 and not off, off=off))
+            put(Token("+", len(text.split()), text))
             continue
         tag = tag.lower()
         if m.group("end"):
-            off = any(s[1] for s in stack)
-            if any(s[0] == tag for s in stack):
-                while True:
-                    name, _ = stack.pop()
-                    article -= name in ("article", "main")
-                    if name == tag:
-                        break
-            out.append(Token("/" + tag, block=tag in BLOCKS, inside=article > 0, off=off))
+            put(Token("/" + tag, block=tag in BLOCKS))
+            of_tag = [i for i, e in enumerate(stack) if e.tag == tag]
+            if of_tag:
+                close(of_tag[-1])
             continue
         rest = m.group("rest")
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else end
+            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            at = stop.end() if stop else end
             continue
         closes = CLOSED_BY_SAME.get(tag, "").split() + (["p"] if tag in BLOCKS else [])
         for i in range(len(stack) - 1, -1, -1):
-            name = stack[i][0]
-            if name in closes:
-                del stack[i:]
+            if stack[i].tag in closes:
+                close(i)
                 break
-            if name in BLOCKS:
+            if stack[i].tag in BLOCKS:
                 break
-        if tag not in VOID and not rest.endswith("/"):
-            stack.append((tag, _aside(tag, rest, article > 0)))
-            article += tag in ("article", "main")
-        elif tag == "br":
-            out.append(Token("+br", 0, " ", inside=article > 0, off=any(s[1] for s in stack)))
+        if tag == "br":
+            put(Token("+br", 0, " "))
             continue
-        off = any(s[1] for s in stack)
-        out.append(
-            Token(("-" if off else "") + tag, block=tag in BLOCKS, inside=article > 0 and not off,
-                  off=off)
-        )
-    return out
+        if tag not in VOID and not rest.endswith("/"):
+            inside = any(e.tag in ("article", "main") for e in stack)
+            stack.append(Element(tag, rest, len(out), inside))
+            elements.append(stack[-1])
+        put(Token(tag, block=tag in BLOCKS))
+    close(0)
+    words = np.concatenate([[0], np.cumsum([t.words for t in out], dtype=np.int64)])
+    off, inside = (np.zeros(len(out) + 1, np.int64) for _ in range(2))
+    asides = _asides(elements, words)
+    for marks, some in ((off, asides), (inside, [e for e in elements if e.tag in ("article", "main")])):
+        for e in some:
+            marks[e.start] += 1
+            marks[e.end] -= 1
+    for t, block, is_off, is_in in zip(out, near, np.cumsum(off) > 0, np.cumsum(inside) > 0):
+        t.off, t.inside = bool(is_off), bool(is_in and not is_off)
+        if t.text:
+            t.kind = ("-" if is_off else "+") + (block if t.kind == "+" else "br")
+        elif is_off and t.kind[0] != "/":
+            t.kind = "-" + t.kind
+    return out, elements
+
+
+def tokens(page: str | None) -> list[Token]:
+    return parse(page)[0]
+
+
+def best_region(scores: np.ndarray) -> tuple[int, int] | None:
+    """First and last of the contiguous scores with the greatest sum, the longest of equals and
+    then the first; None if no sum is above 0."""
+    if not len(scores):
+        return None
+    sums = np.round(np.concatenate([[0.0], np.cumsum(scores)]), 6)  # equal sums shall be equal
+    low = np.minimum.accumulate(sums[:-1])
+    gains = sums[1:] - low
+    best = gains.max()
+    if best <= 0:
+        return None
+    values, places = np.unique(sums, return_index=True)
+    lasts = np.flatnonzero(np.round(gains - best, 6) >= 0)
+    firsts = places[np.searchsorted(values, low[lasts])]
+    k = int(np.argmax(lasts - firsts))
+    return int(firsts[k]), int(lasts[k])
+
+
+def _extended(
+    found: list[Token], elements: list[Element], first: int, last: int
+) -> tuple[int, int]:
+    """The region with what belongs to it by the page's structure: all of the ``<article>`` or
+    ``<main>`` that it lies in; else paragraphs and headings next to it in the smallest element that
+    holds it, up to the nearest aside or other block."""
+    around = [e for e in elements if e.start <= first and last < e.end]
+    marked = [e for e in around if e.tag in ("article", "main") and not found[e.start].off]
+    if marked:
+        inner = marked[-1]
+        return inner.start, inner.end - 1
+    parent = around[-1] if around else Element("", "", 0, False, len(found))
+    children, reach = [], parent.start + 1
+    for e in elements:
+        if e.start >= reach and parent.start < e.start and e.end <= parent.end:
+            children.append(e)
+            reach = e.end
+    plain = {"p", "figure", "blockquote", *(f"h{i}" for i in range(1, 7))}
+    while True:
+        before = [e for e in children if e.end <= first]
+        if not before or before[-1].tag not in plain or found[before[-1].start].off:
+            break
+        first = before[-1].start
+    while True:
+        after = [e for e in children if e.start > last]
+        if not after or after[0].tag not in plain or found[after[0].start].off:
+            break
+        last = after[0].end - 1
+    return first, last
 
 
 def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region, joined by an empty line; empty if no region scores above 0.
 
-    Asides, forms and the like inside the region are left out of the text and score nothing; all
-    else inside it is text, whatever the score of its kind.
+    The region grows to the article that holds it, so that short leads and endings stay. Asides,
+    forms and the like inside it are left out of the text and score nothing; all else inside it is
+    text, whatever the score of its kind.
     """
-    found = tokens(page)
-    if not found:
-        return ""
-    scores = np.array([weights.of(t) * max(t.words, 1) if t.words or not t.text else 0.0
-                       for t in found])
-    sums = np.concatenate([[0.0], np.cumsum(scores)])
-    low = np.minimum.accumulate(sums[:-1])
-    last = int(np.argmax(sums[1:] - low))
-    if sums[last + 1] - low[last] <= 0:
+    found, elements = parse(page)
+    scores = [weights.of(t) * max(t.words, 1) if t.words or not t.text else 0.0 for t in found]
+    region = best_region(np.array(scores))
+    if region is None:
         return ""
-    first = int(np.argmin(sums[: last + 1]))
+    first, last = _extended(found, elements, *region)
     blocks, now = [], []
     for t in found[first : last + 1]:
         if t.block:

@@ -225,6 +225,64 @@ def test_long_asides_and_lists_lose_no_article_text(spark):
         assert html.main_text(page, w) == "\n\n".join(want)
 
 
+BODY = "".join(f"<p>Paragraph {i} " + "of the article with words " * 3 + "</p>" for i in range(4))
+LINKS = "<div class='menu'><a href='/'>Home</a> <a href='/x'>Other</a></div>"
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<body class="single right-sidebar">', "</body>"),
+    ('<body class="no-js cookies-set sidebar">', "</body>"),
+    ('<div class="content with-sidebar"><article>', "</article></div>"),
+    ('<div class="content with-sidebar">', "</div>"),
+    ('<article class="post comments-open">', "</article>"),
+    ('<form id="aspnetForm"><main>', "</main></form>"),
+    ('<form id="aspnetForm">', "</form>"),
+    ('<div class="widget"><main>', "</main></div>"),
+    ('<div id="menu-page"><section>', "</section></div>"),
+])
+def test_a_container_named_after_an_aside_is_none(before, after):
+    want = html.main_text(f"<article>{BODY}</article>", html.Weights())
+    assert want.count("\n\n") == 3
+    assert html.main_text(f"{LINKS}{before}{BODY}{after}{LINKS}", html.Weights()) == want
+
+
+@pytest.mark.parametrize("aside", [
+    '<div class="sidebar">{}</div>', '<div class="right-sidebar">{}</div>', '<div id="cookie-banner">{}</div>',
+    '<ol class="comment-list"><li><article class="comment">{}</article></li></ol>',
+    '<section id="comments"><article class="comment-body comment">{}</article></section>',
+    '<form>{}</form>', '<div role="alert">{}</div>', '<div class="box ad">{}</div>', '<aside>{}</aside>',
+    '<div class="related-posts">{}</div>', '<footer>{}</footer>', '<dialog>{}</dialog>',
+])
+def test_real_asides_go(aside):
+    aside = aside.format("<p>nothing of the article but some other words</p>")
+    want = html.main_text(f"<article>{BODY}</article>", html.Weights())
+    for page in (f"<article>{BODY}</article>{aside}", f"{aside}<main>{BODY}</main>",
+                 f"<article>{BODY}{aside}</article>", f"<div>{BODY}{aside}</div>"):
+        assert html.main_text(f"<body>{page}</body>", html.Weights()) == want, page
+
+
+def test_short_leads_and_endings_stay():
+    figures = '<figure><img src="a"><figcaption></figcaption></figure>' * 4
+    for tag in ("article", "main", "div"):
+        page = f"<{tag}><p>A lead of just six words.</p>{figures}{BODY}</{tag}>"
+        assert html.main_text(page, html.Weights()).startswith("A lead of just six words.\n\n"), tag
+    page = "<article><p>alpha beta gamma delta</p><p>one two three</p><p>epsilon</p></article>"
+    for weights in (html.Weights(), html.Weights(tags={"p": -1.0, "/p": -1.0})):
+        assert html.main_text(page, weights) == "alpha beta gamma delta\n\none two three\n\nepsilon"
+
+
+def test_best_region_equals_all_regions():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        scores = rng.integers(-3, 4, rng.integers(1, 30)) / 2
+        regions = [(scores[i : j + 1].sum(), j - i, -i, -j)
+                   for i in range(len(scores)) for j in range(i, len(scores))]
+        best = max(regions)
+        want = None if best[0] <= 0 else (-best[2], -best[3])
+        assert html.best_region(scores) == want
+    assert html.best_region(np.array([])) is None
+
+
 def test_host_path_and_rules(spark):
     cases = {
         None: ("", "", None), "": ("", "", None), "no scheme": ("", "", None),
