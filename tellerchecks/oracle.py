@@ -264,6 +264,14 @@ _QUERIES = {
 }
 
 
+#: Changes on a store of releases give what the whole rewrites give.
+_QUERIES |= {
+    f"store_{name}": _QUERIES[name]
+    for name in ("phone_update", "delete_accounts", "delete_customers", "delete_transactions",
+                 "incremental_transactions")
+}
+
+
 def _with_relations(sql: str) -> str:
     """Put the relations a query mentions, directly or through others, in front of it."""
     needed: set[str] = set()

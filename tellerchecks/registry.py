@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tellerflow.operators import audit, changes, clean, joins
-from tellerflow.plans import reports
+from tellerflow.plans import bank, reports
+from tellerflow.plans.jobs import Entities
+from tellerflow.sinks.releases import Store
+from tellerflow.sinks.shared import shared_folder
 from tellerflow.sources import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,6 +152,57 @@ def _changes() -> dict[str, Query]:
     }
 
 
+def _store(s: SparkSession, d: str, tables: Entities | None = None) -> Store:
+    """A store of releases with the three clean tables, in the shared folder. On local[n], where
+    none may be set, a temporary one serves."""
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.master.startswith("local"):
+        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bank-"))
+    store = bank.open_store(s, f"{shared_folder(s)}/bank-{uuid4().hex}", 16)
+    bank.replace_tables(store, tables or Entities(_accounts(s, d), _customers(s, d), _transactions(s, d)))
+    return store
+
+
+def _left_in_store(table: str) -> Query:
+    def query(s: SparkSession, d: str) -> DataFrame:
+        store = _store(s, d)
+        bank.remove_listed(store, roles.deletes(s, d))
+        return store.read()[table]
+
+    return query
+
+
+def _updated_in_store(s: SparkSession, d: str) -> DataFrame:
+    store = _store(s, d)
+    bank.change_phone_numbers(store, roles.updates(s, d))
+    return store.read()["customers"]
+
+
+def _added_in_store(s: SparkSession, d: str) -> DataFrame:
+    """The batch comes twice and is added once."""
+    old, new = _year_2001("l_shipdate")
+    known, empty = Entities(_accounts(s, d), _customers(s, d), None), "1 = 0"
+    store = _store(s, d, known._replace(
+        transactions=clean.clean_transactions(roles.transactions_raw(s, d, old))))
+    batch = Entities(
+        known.accounts.filter(empty), known.customers.filter(empty),
+        clean.clean_transactions(roles.transactions_raw(s, d, new)),
+    )
+    for _ in range(2):
+        bank.add_tables(store, batch, "2001")
+    return store.read()["transactions"]
+
+
+def _releases() -> dict[str, Query]:
+    """The changes on a store of releases; the results are those of the whole rewrites."""
+    return {
+        "store_phone_update": _updated_in_store,
+        "store_delete_accounts": _left_in_store("accounts"),
+        "store_delete_customers": _left_in_store("customers"),
+        "store_delete_transactions": _left_in_store("transactions"),
+        "store_incremental_transactions": _added_in_store,
+    }
+
+
 def _reports() -> dict[str, Query]:
     return {
         "churn_by_balance_range": lambda s, d: reports.churn_by_balance_range(s, _accounts(s, d)),
@@ -182,4 +238,4 @@ def _reports() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return {**_read_and_clean(), **_audits(), **_changes(), **_reports()}
+    return {**_read_and_clean(), **_audits(), **_changes(), **_releases(), **_reports()}
