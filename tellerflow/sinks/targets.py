@@ -10,18 +10,20 @@ from pyspark.sql import DataFrame
 from tellerflow.sinks.catalog import publish_staged, save_table
 from tellerflow.sinks.files import write_csv
 from tellerflow.sinks.jdbc import write_table
+from tellerflow.sinks.layout import Layout
 from tellerflow.sinks.shared import materialize
 
 
 @dataclass(frozen=True)
 class Target:
-    """Where one entity goes; a part left out is not written."""
+    """Where one entity goes; a part left out is not written. ``layout`` is that of the table."""
 
     table: str | None = None
     csv: str | None = None
     connection: Mapping[str, str] | None = None
     jdbc_table: str | None = None
     connections: int | None = None
+    layout: Layout | None = None
 
     def __post_init__(self) -> None:
         if (self.connection is None) != (self.jdbc_table is None):
@@ -52,7 +54,8 @@ def replace(frames: Sequence[tuple[DataFrame, Target]]) -> list[DataFrame]:
     """
     tables = {target.table: df for df, target in frames if target.table is not None}
     if tables:
-        publish_staged(frames[0][0].sparkSession, tables)
+        layouts = {target.table: target.layout for _, target in frames}
+        publish_staged(frames[0][0].sparkSession, tables, layouts)
     written = []
     for df, target in frames:
         if target.table is not None:
@@ -73,6 +76,6 @@ def add(df: DataFrame, target: Target) -> DataFrame:
     if sum(s is not None for s in sinks) > 1:
         df = materialize(df, "add")
     if target.table is not None:
-        save_table(df, target.table, "append")
+        save_table(df, target.table, "append", target.layout)
     _write_exports(df, target, "append")
     return df

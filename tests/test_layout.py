@@ -1,0 +1,140 @@
+"""Tables in buckets: no exchange above them, the same results, hot buckets named."""
+
+import re
+
+import pytest
+
+import helpers
+from tellerflow import sinks
+from tellerflow.operators import changes, clean, joins
+from tellerflow.sinks.layout import Layout, read_split, save_in_buckets, skewed_buckets
+
+LAYOUTS = {"accounts": Layout("Account_ID", 8), "customers": Layout("Customer_ID", 8),
+           "transactions": Layout("Account_ID", 8)}
+
+
+@pytest.fixture(scope="module")
+def frames(spark):
+    ids = range(60)
+    return {
+        "accounts": helpers.accounts(spark, *({"Account_ID": i, "Customer_ID": i % 20 or None} for i in ids)),
+        "customers": helpers.customers(spark, *({"Customer_ID": i} for i in range(25))),
+        "transactions": helpers.transactions(spark, *(
+            {"Transaction_ID": i, "Account_ID": i % 70, "Transaction_Type": f"t{i % 3}"} for i in range(400)
+        )),
+    }
+
+
+@pytest.fixture(scope="module")
+def stored(spark, frames):
+    for name, df in frames.items():
+        save_in_buckets(df, f"lay_{name}", LAYOUTS[name])
+    yield {name: spark.table(f"lay_{name}") for name in frames}
+    for name in frames:
+        spark.sql(f"DROP TABLE IF EXISTS lay_{name}")
+
+
+@pytest.fixture
+def no_broadcast(conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+         spark__sql__sources__bucketing__autoBucketedScan__enabled="true")
+
+
+def exchanges_above(df, columns):
+    """Exchanges on the way from the scan that reads these columns up to the first join."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    at = next(i for i, x in enumerate(lines) if "FileScan" in x and all(c in x for c in columns))
+    found, level = 0, depth[at]
+    for i in range(at - 1, -1, -1):
+        if depth[i] < level:
+            level = depth[i]
+            found += bool(re.search(r"Exchange hash", lines[i]))
+            if "Join" in lines[i]:
+                break
+    return found
+
+
+def test_activity_shuffles_neither_transactions_nor_accounts(spark, frames, stored, no_broadcast, rows):
+    def activity(t):
+        return joins.activity(clean.encode_churn(t["accounts"]), t["transactions"], "Transaction_Type")
+
+    plan = activity(stored)
+    assert exchanges_above(plan, ["Transaction_Type", "lay_transactions"]) == 0
+    assert exchanges_above(plan, ["Churn", "lay_accounts"]) == 0
+    assert exchanges_above(activity(frames | {"transactions": read_split(spark, "lay_transactions")}),
+                           ["Transaction_Type"]) >= 1
+    assert rows(plan) == rows(activity(frames))
+
+
+def test_cascade_and_update_leave_the_big_side_in_place(spark, frames, stored, no_broadcast, rows):
+    listed = spark.createDataFrame([(3,), (7,), (999,)], "Account_ID long")
+    left = changes.delete_transactions(stored["transactions"], listed)
+    assert exchanges_above(left, ["Transaction_Type"]) == 0
+    assert rows(left) == rows(changes.delete_transactions(frames["transactions"], listed))
+    left = changes.remove_customers(stored["customers"], changes.removal_keys(stored["accounts"], listed))
+    assert exchanges_above(left, ["Phone_Number"]) == 0
+    updates = spark.createDataFrame([(5, "01", "95")], "UCustomer_ID int, Old_Phone_Number string, "
+                                    "New_Phone_Number string")
+    assert rows(changes.update_phone_numbers(stored["customers"], updates)) == rows(
+        changes.update_phone_numbers(frames["customers"], updates))
+
+
+def test_three_way_join(frames, stored, no_broadcast, rows):
+    names = ("accounts", "customers", "transactions")
+    joined = joins.account_customer_txn(*(stored[n] for n in names))
+    assert exchanges_above(joined, ["Phone_Number"]) == 0
+    assert exchanges_above(joined, ["Transaction_Type"]) <= 1
+    assert rows(joined) == rows(joins.account_customer_txn(*(frames[n] for n in names)))
+
+
+def test_a_bucket_is_a_file_and_appends_add_files(spark, frames, rows):
+    layout = LAYOUTS["transactions"]
+    try:
+        save_in_buckets(frames["transactions"].repartition(16), "lay_more", layout)
+        assert len(spark.table("lay_more").inputFiles()) <= 8
+        save_in_buckets(frames["transactions"], "lay_more", layout, "append")
+        both = frames["transactions"].unionByName(frames["transactions"])
+        assert rows(spark.table("lay_more")) == rows(both) == rows(read_split(spark, "lay_more"))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS lay_more")
+
+
+def test_targets_keep_their_buckets(spark, frames, rows):
+    """A staged replacement and an append of a target with a layout."""
+    target = sinks.Target(table="lay_target", layout=LAYOUTS["accounts"])
+    try:
+        for _ in range(2):
+            sinks.replace([(frames["accounts"], target)])
+        sinks.add(frames["accounts"], target)
+        assert rows(spark.table("lay_target")) == rows(frames["accounts"].unionByName(frames["accounts"]))
+        detail = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED lay_target").collect()}
+        assert detail["Num Buckets"] == "8" and "Account_ID" in detail["Sort Columns"]
+        sinks.replace([(frames["accounts"].limit(0), target)])
+        assert spark.table("lay_target").count() == 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS lay_target")
+
+
+def test_hot_buckets_are_named_and_split_files(spark, conf, rows):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="32k")
+    layout = Layout("Account_ID", 8)
+    df = spark.range(0, 40_000, numPartitions=8).selectExpr("IF(id % 2 = 0, 7, id) AS Account_ID", "uuid() AS v")
+    try:
+        save_in_buckets(df, "lay_hot", layout)
+        (hot,) = skewed_buckets(spark, "lay_hot", layout, 3).collect()
+        assert hot["key"] == 7 and hot.key_rows == 20_001 and hot.rows > 3 * hot.median
+        assert len(spark.table("lay_hot").inputFiles()) > 8
+        assert skewed_buckets(spark, "lay_hot", layout, 50).count() == 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS lay_hot")
+
+
+def test_empty_tables(spark, frames):
+    layout = LAYOUTS["transactions"]
+    try:
+        save_in_buckets(frames["transactions"].limit(0), "lay_none", layout)
+        assert spark.table("lay_none").count() == 0 == read_split(spark, "lay_none").count()
+        assert skewed_buckets(spark, "lay_none", layout).count() == 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS lay_none")
