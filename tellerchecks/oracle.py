@@ -264,6 +264,44 @@ _QUERIES = {
 }
 
 
+def _staged(*parts: tuple[str, str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, '{column}' AS column_name, {column} AS value, count(*) AS count "
+        f"FROM {relation} GROUP BY ALL"
+        for stage, column, relation in parts
+    )
+
+
+def _null_counts() -> str:
+    columns = {
+        "accounts": "Account_ID Customer_ID Account_Type Balance Open_Date Last_Activity_Date "
+        "Credit_Card Churn",
+        "customers": _CUSTOMER_COLUMNS,
+        "transactions": "Transaction_ID Account_ID Transaction_Type Amount Transaction_Date",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{entity}' AS entity, '{c}' AS column_name, count(*) AS rows, "
+        f"count(*) - count({c}) AS nulls FROM {entity}_raw"
+        for entity, names in columns.items()
+        for c in names.split()
+    )
+
+
+_QUERIES |= {
+    "load_null_counts": _null_counts(),
+    "load_profiles_accounts": _staged(
+        ("raw", "Credit_Card", "accounts_raw"), ("clean", "Credit_Card", "accounts")
+    ),
+    "load_profiles_customers": _staged(
+        ("raw", "Gender", "customers_raw"), ("settled", "Gender", "customers_gender"),
+        ("distinct", "Employment_Status", "customers_distinct"),
+        ("clean", "Gender", "customers"), ("clean", "Employment_Status", "customers"),
+    ),
+    "load_profiles_transactions": _staged(
+        ("raw", "Transaction_Type", "transactions_raw"), ("clean", "Transaction_Type", "transactions")
+    ),
+}
+
 #: Changes on a store of releases give what the whole rewrites give.
 _QUERIES |= {
     f"store_{name}": _QUERIES[name]

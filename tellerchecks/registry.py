@@ -9,7 +9,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from tellerflow.operators import audit, changes, clean, joins
-from tellerflow.plans import bank, reports
+from tellerflow.plans import bank, jobs, reports
 from tellerflow.plans.jobs import Entities
 from tellerflow.sinks.releases import Store
 from tellerflow.sinks.shared import shared_folder
@@ -117,6 +117,25 @@ def _audits() -> dict[str, Query]:
     }
 
 
+def _raw(s: SparkSession, d: str) -> Entities:
+    return Entities(roles.accounts_raw(s, d), roles.customers_raw(s, d), roles.transactions_raw(s, d))
+
+
+def _null_counts(s: SparkSession, d: str) -> DataFrame:
+    frames = [audit.null_counts(df, name) for name, df in _raw(s, d)._asdict().items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def _load_audits() -> dict[str, Query]:
+    """Checks of a load that share one read of each table."""
+    return {
+        "load_null_counts": _null_counts,
+        "load_profiles_accounts": lambda s, d: jobs.load_profiles(_raw(s, d)).accounts,
+        "load_profiles_customers": lambda s, d: jobs.load_profiles(_raw(s, d)).customers,
+        "load_profiles_transactions": lambda s, d: jobs.load_profiles(_raw(s, d)).transactions,
+    }
+
+
 def _changes() -> dict[str, Query]:
     return {
         "phone_update": lambda s, d: changes.update_phone_numbers(
@@ -238,4 +257,4 @@ def _reports() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return {**_read_and_clean(), **_audits(), **_changes(), **_releases(), **_reports()}
+    return {**_read_and_clean(), **_audits(), **_load_audits(), **_changes(), **_releases(), **_reports()}

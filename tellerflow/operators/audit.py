@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,37 @@ def value_profiles(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def staged_profiles(df: DataFrame, cells: list[tuple[str, str, Column]]) -> DataFrame:
+    """Profiles of several states of several columns from one read: ``stage, column_name, value,
+    count`` for each (stage, column name, expression), for example a column before and after its
+    cleaning. Values are counted within tasks before they are shuffled."""
+    rows = [
+        F.struct(F.lit(stage).alias("stage"), F.lit(name).alias("column_name"), value.alias("value"))
+        for stage, name, value in cells
+    ]
+    return (
+        df.select(F.inline(F.array(*rows)))
+        .groupBy("stage", "column_name", "value")
+        .agg(F.count("*").alias("count"))
+    )
+
+
+def null_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates for ``observe``: the rows, and the NULLs of each column."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+    return [F.count(F.lit(1)).alias("__rows"), *nulls]
+
+
+def null_counts(df: DataFrame, entity: str) -> DataFrame:
+    """``entity, column_name, rows, nulls``, a row per column, from one read."""
+    totals = df.agg(*null_metrics(df))
+    each = F.array(*(
+        F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("rows"), F.col(c).alias("nulls"))
+        for c in df.columns
+    ))
+    return totals.select(F.lit(entity).alias("entity"), F.inline(each))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 

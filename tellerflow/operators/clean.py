@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerflow.functions import gender, parse_date, parse_money, round_half_up, strip_chars, yes_no
@@ -52,20 +52,28 @@ def distinct_customers(raw: DataFrame) -> DataFrame:
     return dedup(fill_mean_age(normalise_gender(raw)))
 
 
+def employment_status() -> Column:
+    """The employment status as it is stored; unknown ones are named so."""
+    return strip_chars(F.coalesce("Employment_Status", F.lit("Unknown")), "-")
+
+
 def clean_customers(raw: DataFrame) -> DataFrame:
     """Gender, mean age, de-duplication, employment status, in this order.
 
     The mean counts copies, and rows that differ in the spelling of the employment status
     alone both stay.
     """
-    status = F.coalesce("Employment_Status", F.lit("Unknown"))
-    return distinct_customers(raw).withColumn("Employment_Status", strip_chars(status, "-"))
+    return distinct_customers(raw).withColumn("Employment_Status", employment_status())
+
+
+def transaction_type() -> Column:
+    return strip_chars(F.col("Transaction_Type"), "- ")
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
     return raw.withColumns(
         {
-            "Transaction_Type": strip_chars(F.col("Transaction_Type"), "- "),
+            "Transaction_Type": transaction_type(),
             "Amount": parse_money(F.col("Amount")),
             "Transaction_Date": parse_date(F.col("Transaction_Date")),
         }

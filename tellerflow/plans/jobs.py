@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tellerflow import sources
+from tellerflow.functions import yes_no
 from tellerflow.operators import audit, changes, clean
 from tellerflow.operators.joins import activity, bounds
 from tellerflow.plans import reports
@@ -47,10 +49,8 @@ def clean_batch(raw: Entities) -> Entities:
 
 
 def audit_batch(raw: Entities, cleaned: Entities) -> dict[str, DataFrame]:
-    """The checks of a load, as frames for the caller to look at or store.
-
-    All value profiles of one frame come from a single read of it.
-    """
+    """The checks of a load, as frames for the caller to look at or store; each reads its input.
+    ``audited_load`` has them from the pass that writes."""
     settled = clean.fill_mean_age(clean.normalise_gender(raw.customers))
     return {
         "row_count_accounts": audit.row_count(raw.accounts),
@@ -73,6 +73,68 @@ def audit_batch(raw: Entities, cleaned: Entities) -> dict[str, DataFrame]:
     }
 
 
+def load_profiles(raw: Entities) -> Entities:
+    """Every value profile of a load, before and after cleaning, from one expansion of each table;
+    of customers from two, as duplicates go between them."""
+    card, kind = F.col("Credit_Card"), F.col("Transaction_Type")
+    settled = clean.fill_mean_age(clean.normalise_gender(raw.customers.withColumn("_raw", F.col("Gender"))))
+    alone = clean.distinct_customers(raw.customers)
+    status = F.col("Employment_Status")
+    before = audit.staged_profiles(
+        settled, [("raw", "Gender", F.col("_raw")), ("settled", "Gender", F.col("Gender"))]
+    )
+    after = audit.staged_profiles(alone, [
+        ("distinct", "Employment_Status", status),
+        ("clean", "Gender", F.col("Gender")),
+        ("clean", "Employment_Status", clean.employment_status()),
+    ])
+    return Entities(
+        audit.staged_profiles(
+            raw.accounts, [("raw", "Credit_Card", card), ("clean", "Credit_Card", yes_no(card))]
+        ),
+        before.unionByName(after),
+        audit.staged_profiles(raw.transactions, [
+            ("raw", "Transaction_Type", kind), ("clean", "Transaction_Type", clean.transaction_type())
+        ]),
+    )
+
+
+class Audited(NamedTuple):
+    """What a load wrote, and its checks, stored in the shared folder."""
+
+    written: Entities
+    audits: dict[str, DataFrame]
+
+
+def audited_load(spark: SparkSession, paths: Entities, targets: Entities) -> Audited:
+    """The full load with all its checks, reading every input once.
+
+    Each input is written, as it is read, to the shared folder, and its rows and NULLs are counted
+    in that very pass; cleaning and checks read the stored columns they need. The checks are
+    ``null_counts``; rows with NULLs and value profiles of each table; duplicate customers.
+    """
+    with scratch(spark) as keep:
+        staged, counts = [], []
+        for entity, raw in read_batch(spark, paths)._asdict().items():
+            seen = Observation()
+            staged.append(keep(raw.observe(seen, *audit.null_metrics(raw)), entity))
+            rows = seen.get["__rows"]
+            counts += [(entity, c, rows, seen.get[c]) for c in raw.columns]
+        raw = Entities(*staged)
+        written = _replace(clean_batch(raw), targets)
+        settled = clean.fill_mean_age(clean.normalise_gender(raw.customers))
+        checks = {
+            "null_audit_accounts": audit.rows_with_nulls(clean.parse_account_dates(raw.accounts)),
+            "null_audit_customers": audit.rows_with_nulls(raw.customers),
+            "null_audit_transactions": audit.rows_with_nulls(raw.transactions),
+            "duplicate_customers": audit.duplicate_rows(settled),
+            **{f"profile_{n}": df for n, df in load_profiles(raw)._asdict().items()},
+        }
+        audits = {name: materialize(df, name) for name, df in checks.items()}
+    schema = "entity STRING, column_name STRING, rows LONG, nulls LONG"
+    return Audited(written, {"null_counts": spark.createDataFrame(counts, schema), **audits})
+
+
 def _replace(frames: Entities, targets: Entities) -> Entities:
     return Entities(*replace(list(zip(frames, targets, strict=True))))
 

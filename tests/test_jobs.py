@@ -218,3 +218,42 @@ def test_views_for_sql_text(spark, loaded, rows):
     assert rows(got) == [(3,)]
     for view in ("accounts", "customers", "transactions"):
         spark.catalog.dropTempView(view)
+
+
+def test_audited_load_reads_every_input_once(spark, loaded, tmp_path, rows, monkeypatch):
+    """The load and its checks equal those of the separate jobs; every input row is read once."""
+    paths, _ = loaded
+    raw = jobs.read_batch(spark, paths)
+    seen = [spark.sparkContext.accumulator(0) for _ in raw]
+
+    def noted(df, count):
+        def note(batches):
+            for b in batches:
+                count.add(b.num_rows)
+                yield b
+
+        return df.mapInArrow(note, df.schema)
+
+    counted = Entities(*(noted(df, count) for df, count in zip(raw, seen)))
+    monkeypatch.setattr(jobs, "read_batch", lambda *_: counted)
+    targets = Entities(*(sinks.Target(csv=str(tmp_path / f"audited_{n}")) for n in "act"))
+    written, audits = jobs.audited_load(spark, paths, targets)
+    assert [count.value for count in seen] == [3, 3, 4]
+    cleaned = jobs.clean_batch(raw)
+    assert [rows(a) for a in written] == [rows(a) for a in cleaned]
+    alone = jobs.audit_batch(raw, cleaned)
+    for name in ("null_audit_accounts", "null_audit_customers", "null_audit_transactions",
+                 "duplicate_customers"):
+        assert rows(audits[name]) == rows(alone[name]), name
+
+    def profile(entity, stage):
+        return rows(audits[f"profile_{entity}"].filter(f"stage = '{stage}'").drop("stage"))
+
+    assert profile("accounts", "raw") == rows(alone["profile_accounts_raw"])
+    assert profile("customers", "settled") == rows(alone["profile_gender_clean"])
+    assert profile("customers", "distinct") == rows(alone["profile_employment_raw"])
+    assert profile("customers", "clean") == rows(alone["profile_customers_clean"])
+    assert profile("transactions", "clean") == rows(alone["profile_transactions_clean"])
+    nulls = {(r.entity, r.column_name): (r.rows, r.nulls) for r in audits["null_counts"].collect()}
+    assert nulls["customers", "Age"] == (3, 1) and nulls["transactions", "Amount"] == (4, 0)
+    assert len(nulls) == 8 + 14 + 5
