@@ -255,6 +255,12 @@ _QUERIES = {
     "credit_score_range_join": """
         SELECT Account_ID, Customer_ID, churn, Credit_Score, Transaction_ID, credit_score_range
         FROM score_joined""",
+    "score_tolerance_join": """
+        SELECT Customer_ID, Credit_Score - Tenure AS least_score,
+          Credit_Score + Tenure AS most_score, credit_score_range
+        FROM customers JOIN score_bands
+          ON Credit_Score - Tenure <= max_credit_score
+          AND min_credit_score <= Credit_Score + Tenure""",
     "churn_by_credit_score_range": """
         SELECT credit_score_range, count(churn) AS total_customers,
           CAST(sum(churn) AS BIGINT) AS churn_count

@@ -8,7 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tellerflow.operators import audit, changes, clean, joins
+from tellerflow.operators import audit, changes, clean, intervals, joins
 from tellerflow.plans import bank, jobs, reports
 from tellerflow.plans.jobs import Entities
 from tellerflow.sinks.releases import Store
@@ -222,6 +222,18 @@ def _releases() -> dict[str, Query]:
     }
 
 
+def _score_tolerance_join(s: SparkSession, d: str) -> DataFrame:
+    """Bands that a customer's credit score may lie in, give or take a point for each year."""
+    people = _customers(s, d).selectExpr(
+        "Customer_ID", "Credit_Score - Tenure AS least_score", "Credit_Score + Tenure AS most_score"
+    )
+    bands = reports.credit_score_ranges(*_tables(s, d))
+    ends = intervals.Ends("least_score", "most_score"), intervals.Ends("min_credit_score", "max_credit_score")
+    return intervals.interval_join(people, bands, *ends, unit=8).select(
+        "Customer_ID", "least_score", "most_score", "credit_score_range"
+    )
+
+
 def _reports() -> dict[str, Query]:
     return {
         "churn_by_balance_range": lambda s, d: reports.churn_by_balance_range(s, _accounts(s, d)),
@@ -249,6 +261,7 @@ def _reports() -> dict[str, Query]:
         "credit_score_range_join": lambda s, d: _banded(
             s, d, "Credit_Score", "credit_score", reports.CREDIT_SCORE_WIDTH
         ),
+        "score_tolerance_join": _score_tolerance_join,
         "churn_by_credit_score_range": lambda s, d: reports.churn_by_credit_score_range(
             *_tables(s, d)
         ),

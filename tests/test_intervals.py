@@ -1,0 +1,57 @@
+"""The interval join against a nested loop in Python."""
+
+import random
+
+import pytest
+
+import helpers
+from tellerflow.operators.intervals import interval_join
+
+INF, NAN = float("inf"), float("nan")
+
+
+def some(rng, n, kinds):
+    """Intervals of very unlike widths around zero, with odd ends."""
+    out = []
+    for i in range(n):
+        low = rng.choice([rng.uniform(-100, 100), rng.randrange(-64, 64), 2.0 ** rng.randrange(-3, 12)])
+        width = rng.choice([0, rng.random(), 2.0 ** rng.randrange(-4, 12), rng.uniform(0, 5000)])
+        ends = rng.choice([(low, low + width)] * kinds + [
+            (None, low), (low, None), (low, low - 1), (-INF, low), (low, INF), (-INF, INF), (NAN, low), (low, NAN),
+        ])
+        out.append((i, *(None if x is None else float(x) for x in ends)))
+    return out
+
+
+def holds(low, high):
+    return low is not None and high is not None and low == low and high == high and low <= high
+
+
+def nested_loop(left, right):
+    return sorted((i, j) for i, a, b in left for j, c, d in right
+                  if holds(a, b) and holds(c, d) and a <= d and c <= b)
+
+
+@pytest.mark.parametrize("unit", [1.0, 0.3, 64.0])
+def test_equals_a_nested_loop(spark, conf, unit):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    rng = random.Random(unit)
+    left, right = some(rng, 150, 20), some(rng, 120, 20)
+    a = spark.createDataFrame(left, "i int, a double, b double")
+    b = spark.createDataFrame(right, "j int, c double, d double")
+    joined = interval_join(a, b, ("a", "b"), ("c", "d"), unit)
+    assert joined.columns == ["i", "a", "b", "j", "c", "d"]
+    assert sorted((r.i, r.j) for r in joined.collect()) == nested_loop(left, right)
+    plan = helpers.final_plan(joined)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_values_repeats_and_empty_sides(spark, rows):
+    values = spark.createDataFrame([(5,), (5,), (10,), (None,)], "x int")
+    bands = spark.createDataFrame([("low", 0, 5), ("mid", 5, 9), ("wide", -10**9, 10**9)], "band string, c long, d long")
+    found = rows(interval_join(values, bands, ("x", "x"), ("c", "d")).select("x", "band"))
+    assert found == sorted([(5, "low"), (5, "mid"), (5, "wide")] * 2 + [(10, "wide")], key=repr)
+    for a, b in ((values.limit(0), bands), (values, bands.limit(0))):
+        assert interval_join(a, b, ("x", "x"), ("c", "d")).count() == 0
+    with pytest.raises(ValueError, match="both sides"):
+        interval_join(values, values, ("x", "x"), ("x", "x"))
