@@ -317,8 +317,9 @@ def near_duplicate_vectors(
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing:
     no links, own component, kept. Vectors of different lengths never link. Rows without an id
-    link with nothing and are kept; their component is null. Rows that repeat an id are vectors of
-    their own with the links of all rows of that id, except to that id.
+    link with nothing and are kept; their component is null. Rows that repeat an id and a vector are
+    vectors of their own: each counts the others among its links. Rows of one id with different
+    vectors all get the links of these together, where one neighbour may count more than once.
     """
     column = vectors.schema[vector_col].dataType
     single = isinstance(column, ArrayType) and isinstance(column.elementType, FloatType)
@@ -369,7 +370,8 @@ def near_duplicate_vectors(
     )
     groups = components(edges).withColumnRenamed("id", "vec_id")
     linked = (
-        named.join(counts, "rep", "left")
+        named.distinct()  # rows alike in id and vector are counted in ``copies``
+        .join(counts, "rep", "left")
         .groupBy("vec_id")
         .agg(F.sum(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )

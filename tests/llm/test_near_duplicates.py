@@ -135,6 +135,25 @@ def test_vectors_without_ids_and_empty(spark):
     assert embeddings.near_duplicate_vectors(vectors_of(spark, [])).count() == 0
 
 
+def test_repeated_rows_equal_brute_force_over_rows(spark):
+    """Rows alike in id and vector, with and without neighbours."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((30, 8))
+    rows = [(i, v) for i, v in enumerate(np.vstack([base, base[:6] * 2, base[:4] + 0.01]))]
+    rows += [rows[0]] * 2 + [rows[7]] + [rows[33]] * 3 + [rows[37]]
+    found = embeddings.near_duplicate_vectors(
+        vectors_of(spark, [(i, v.tolist()) for i, v in rows])).collect()
+    x = np.array([v for _, v in rows]).astype(np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    links = (x @ x.T >= 0.95).sum(axis=1) - 1
+    assert sorted((r.vec_id, r.n_links) for r in found) == sorted(
+        (i, int(n)) for (i, _), n in zip(rows, links))
+    for ids, want in (((5, 5, 6), [2, 2, 2]), ((5, 5), [1, 1])):
+        alike = vectors_of(spark, [(i, [1.0, 2.0]) for i in ids])
+        found = embeddings.near_duplicate_vectors(alike).collect()
+        assert [r.n_links for r in found] == want
+
+
 def test_forest_of_several_passes(spark):
     """Small samples leave nodes open, so that later passes have to split them."""
     rng = np.random.default_rng(5)
