@@ -6,10 +6,11 @@ from tellerflow.sources.files import (
     read_transactions,
     read_updates,
 )
-from tellerflow.sources.jdbc import Split, read_table
+from tellerflow.sources.jdbc import Split, even_predicates, read_table
 
 __all__ = [
     "Split",
+    "even_predicates",
     "read_accounts",
     "read_csv",
     "read_customers",

@@ -93,6 +93,10 @@ class Calls:
         self.told["options"] = options
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.told.update(url=url, table=table, predicates=predicates, properties=properties)
+        return self.result
+
     def mode(self, mode):
         self.told["mode"] = mode
         return self
@@ -127,6 +131,54 @@ def test_jdbc_scan_in_parts_with_contract(spark):
         jdbc.read_table(calls, LINK, "t", split, schemas.ACCOUNTS)
 
 
+def sizes(df, predicates):
+    """Rows that meet each predicate; every row must meet exactly one."""
+    met = df.selectExpr(*(f"CAST(coalesce({p}, false) AS INT) AS p{i}" for i, p in enumerate(predicates)))
+    total = "+".join(met.columns)
+    assert met.filter(f"{total} <> 1").count() == 0, predicates
+    return list(met.groupBy().sum().first())
+
+
+def test_even_predicates_on_skewed_keys(spark):
+    """A quadratic key, a third of the rows with one key, and NULLs."""
+    df = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 500 WHEN id % 97 = 0 THEN NULL "
+        "ELSE CAST(id * id / 30000 AS INT) END AS k", "id AS t")
+    assert max(sizes(df, jdbc.even_predicates(df, "k", 12))) > 9000  # one key cannot be divided
+    even = sizes(df, jdbc.even_predicates(df, "k", 12, "t"))
+    assert max(even) < 1.5 * 30_000 / 12 and len(even) < 18
+    # A sample that lacks rows still gives a whole division.
+    few = df.filter("t % 50 = 1 AND k < 20000")
+    assert sum(sizes(df, jdbc.even_predicates(few, "k", 5, "t"))) == 30_000
+
+
+@pytest.mark.parametrize("kind", [
+    "date_add(DATE'2020-01-01', CAST(id AS INT) % 50)",
+    "CAST(id / 7 AS DECIMAL(9, 2))", "timestamp_seconds(id DIV 3)",
+])
+def test_even_predicates_of_other_types(spark, kind):
+    df = spark.range(3000).selectExpr(f"{kind} AS k")
+    found = sizes(df, jdbc.even_predicates(df, "k", 6))
+    assert max(found) < 900 and sum(found) == 3000
+
+
+def test_even_predicates_of_few_or_no_rows(spark):
+    df = spark.createDataFrame([(None,), (1,), (1,)], "k int")
+    assert sizes(df.filter("k IS NULL"), jdbc.even_predicates(df.limit(0), "k", 4)) == [1]
+    assert jdbc.even_predicates(df, "k", 1) == ["1 = 1"]
+    assert sum(sizes(df, jdbc.even_predicates(df, "k", 4))) == 3
+
+
+def test_jdbc_scan_by_predicates(spark):
+    df = helpers.customers(spark, {})
+    calls = Calls(df)
+    assert jdbc.read_table(calls, LINK, "t", schema=schemas.CUSTOMERS, predicates=["a", "b"]) is df
+    assert calls.told == {"url": "jdbc:x", "table": "t", "predicates": ["a", "b"],
+                          "properties": {"driver": "d", "user": "u"}}
+    with pytest.raises(ValueError):
+        jdbc.read_table(calls, LINK, "t", jdbc.Split("k", 0, 1, 2), predicates=["a"])
+
+
 @pytest.mark.parametrize("mode", ["errorifexists", "overwrite", "append"])
 def test_jdbc_write(mode):
     calls = Calls()
