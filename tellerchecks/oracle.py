@@ -308,6 +308,15 @@ _QUERIES |= {
     ),
 }
 
+_QUERIES["rejected_accounts"] = " UNION ALL ".join(
+    f"SELECT CAST(Account_ID AS VARCHAR) AS row, '{column}' AS column_name, "
+    f"r.{column} AS raw_text, '{rule}' AS rule "
+    f"FROM accounts_raw r JOIN accounts c USING (Account_ID) "
+    f"WHERE r.{column} IS NOT NULL AND c.{column} IS NULL"
+    for column, rule in (("Balance", "amount of money"), ("Open_Date", "day/month/year"),
+                         ("Last_Activity_Date", "day/month/year"))
+)
+
 #: Changes on a store of releases give what the whole rewrites give.
 _QUERIES |= {
     f"store_{name}": _QUERIES[name]

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tellerflow.operators import audit, changes, clean, intervals, joins
+from tellerflow.operators import audit, changes, clean, intervals, joins, rejects
 from tellerflow.plans import bank, jobs, reports
 from tellerflow.plans.jobs import Entities
 from tellerflow.sinks.releases import Store
@@ -129,6 +130,7 @@ def _null_counts(s: SparkSession, d: str) -> DataFrame:
 def _load_audits() -> dict[str, Query]:
     """Checks of a load that share one read of each table."""
     return {
+        "rejected_accounts": _rejected_accounts,
         "load_null_counts": _null_counts,
         "load_profiles_accounts": lambda s, d: jobs.load_profiles(_raw(s, d)).accounts,
         "load_profiles_customers": lambda s, d: jobs.load_profiles(_raw(s, d)).customers,
@@ -136,6 +138,11 @@ def _load_audits() -> dict[str, Query]:
     }
 
 
+def _rejected_accounts(s: SparkSession, d: str) -> DataFrame:
+    rules, row = rejects.cleaning_rules("accounts"), F.col("Account_ID").cast("string")
+    return rejects.rejected_by_rules(roles.accounts_raw(s, d), rules, row)
+
+
 def _changes() -> dict[str, Query]:
     return {
         "phone_update": lambda s, d: changes.update_phone_numbers(

@@ -7,9 +7,9 @@ from typing import Any, NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tellerflow import sources
+from tellerflow import schemas, sources
 from tellerflow.functions import yes_no
-from tellerflow.operators import audit, changes, clean
+from tellerflow.operators import audit, changes, clean, rejects
 from tellerflow.operators.joins import activity, bounds
 from tellerflow.plans import reports
 from tellerflow.sinks import (
@@ -40,6 +40,14 @@ def read_batch(spark: SparkSession, paths: Entities) -> Entities:
     )
 
 
+RAW = Entities(schemas.ACCOUNTS_RAW, schemas.CUSTOMERS, schemas.TRANSACTIONS_RAW)
+
+
+def read_batch_traced(spark: SparkSession, paths: Entities) -> Entities:
+    """``read_batch`` with the file of each row, and the line of rows that do not fit."""
+    return Entities(*(sources.read_csv_traced(spark, p, s) for p, s in zip(paths, RAW, strict=True)))
+
+
 def clean_batch(raw: Entities) -> Entities:
     return Entities(
         clean.clean_accounts(raw.accounts),
@@ -111,15 +119,19 @@ def audited_load(spark: SparkSession, paths: Entities, targets: Entities) -> Aud
 
     Each input is written, as it is read, to the shared folder, and its rows and NULLs are counted
     in that very pass; cleaning and checks read the stored columns they need. The checks are
-    ``null_counts``; rows with NULLs and value profiles of each table; duplicate customers.
+    ``null_counts``; rows with NULLs, value profiles and rejected cells of each table, the latter
+    explaining every NULL that reading and cleaning made; duplicate customers.
     """
     with scratch(spark) as keep:
-        staged, counts = [], []
-        for entity, raw in read_batch(spark, paths)._asdict().items():
+        staged, traced, counts = [], {}, []
+        for entity, frame in read_batch_traced(spark, paths)._asdict().items():
             seen = Observation()
-            staged.append(keep(raw.observe(seen, *audit.null_metrics(raw)), entity))
+            names = [c for c in frame.columns if c not in (rejects.FILE, rejects.LINE)]
+            metrics = audit.null_metrics(frame.select(names))
+            traced[entity] = keep(frame.observe(seen, *metrics), entity)
+            staged.append(traced[entity].select(names))
             rows = seen.get["__rows"]
-            counts += [(entity, c, rows, seen.get[c]) for c in raw.columns]
+            counts += [(entity, c, rows, seen.get[c]) for c in names]
         raw = Entities(*staged)
         written = _replace(clean_batch(raw), targets)
         settled = clean.fill_mean_age(clean.normalise_gender(raw.customers))
@@ -129,6 +141,12 @@ def audited_load(spark: SparkSession, paths: Entities, targets: Entities) -> Aud
             "null_audit_transactions": audit.rows_with_nulls(raw.transactions),
             "duplicate_customers": audit.duplicate_rows(settled),
             **{f"profile_{n}": df for n, df in load_profiles(raw)._asdict().items()},
+            **{
+                f"rejected_{n}": rejects.rejected_cells(
+                    traced[n], getattr(RAW, n), rejects.cleaning_rules(n)
+                )
+                for n in RAW._fields
+            },
         }
         audits = {name: materialize(df, name) for name, df in checks.items()}
     schema = "entity STRING, column_name STRING, rows LONG, nulls LONG"

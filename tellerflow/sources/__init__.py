@@ -1,6 +1,7 @@
 from tellerflow.sources.files import (
     read_accounts,
     read_csv,
+    read_csv_traced,
     read_customers,
     read_deletes,
     read_transactions,
@@ -13,6 +14,7 @@ __all__ = [
     "even_predicates",
     "read_accounts",
     "read_csv",
+    "read_csv_traced",
     "read_customers",
     "read_deletes",
     "read_table",

@@ -223,7 +223,7 @@ def test_views_for_sql_text(spark, loaded, rows):
 def test_audited_load_reads_every_input_once(spark, loaded, tmp_path, rows, monkeypatch):
     """The load and its checks equal those of the separate jobs; every input row is read once."""
     paths, _ = loaded
-    raw = jobs.read_batch(spark, paths)
+    raw, traced = jobs.read_batch(spark, paths), jobs.read_batch_traced(spark, paths)
     seen = [spark.sparkContext.accumulator(0) for _ in raw]
 
     def noted(df, count):
@@ -234,8 +234,8 @@ def test_audited_load_reads_every_input_once(spark, loaded, tmp_path, rows, monk
 
         return df.mapInArrow(note, df.schema)
 
-    counted = Entities(*(noted(df, count) for df, count in zip(raw, seen)))
-    monkeypatch.setattr(jobs, "read_batch", lambda *_: counted)
+    counted = Entities(*(noted(df, count) for df, count in zip(traced, seen)))
+    monkeypatch.setattr(jobs, "read_batch_traced", lambda *_: counted)
     targets = Entities(*(sinks.Target(csv=str(tmp_path / f"audited_{n}")) for n in "act"))
     written, audits = jobs.audited_load(spark, paths, targets)
     assert [count.value for count in seen] == [3, 3, 4]
@@ -257,3 +257,5 @@ def test_audited_load_reads_every_input_once(spark, loaded, tmp_path, rows, monk
     nulls = {(r.entity, r.column_name): (r.rows, r.nulls) for r in audits["null_counts"].collect()}
     assert nulls["customers", "Age"] == (3, 1) and nulls["transactions", "Amount"] == (4, 0)
     assert len(nulls) == 8 + 14 + 5
+    assert rows(audits["rejected_accounts"].select("column_name", "raw_text", "rule")) == [
+        ("Balance", "n/a", "amount of money")]

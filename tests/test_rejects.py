@@ -1,0 +1,54 @@
+"""Every NULL that reading or cleaning makes is explained by one row of the side table."""
+
+import helpers
+from tellerflow import schemas, sources
+from tellerflow.operators import clean, rejects
+
+
+def accounts(spark, tmp_path, lines):
+    path = tmp_path / "accounts.csv"
+    path.write_text("\n".join([",".join(helpers.ACCOUNT), *lines]) + "\n")
+    return str(path)
+
+
+LINES = [
+    "10,1,Current,£1.50,05/01/2020,06/01/2020,y,No",
+    "x1,2,Current,£1.50,05/01/2020,06/01/2020,y,No",
+    "12,three,Current,n/a,31/02/2020,,y,No",
+    '13,4,"Cur, rent",£2.50,5/1/2020,2020-01-06,y,No',
+    "14,99999999999,Current,,05/01/2020,06/01/2020,y,No",
+    "15,6,Current,£1.00,05/01/2020,06/01/2020,y,No,more,cells",
+    "16,7,Current",
+    ",,,,,,,",
+]
+
+
+def test_every_null_is_explained(spark, tmp_path, rows):
+    path = accounts(spark, tmp_path, LINES)
+    traced = sources.read_csv_traced(spark, path, schemas.ACCOUNTS_RAW)
+    plain = sources.read_accounts(spark, path)
+    assert rows(traced.drop("_file", "_line")) == rows(plain)  # valid and invalid cells alike
+    found = rejects.rejected_cells(traced, schemas.ACCOUNTS_RAW, rejects.cleaning_rules("accounts"))
+    assert rows(found.select("column_name", "raw_text", "rule")) == sorted([
+        ("Account_ID", "x1", "type bigint"), ("Customer_ID", "three", "type int"),
+        ("Balance", "n/a", "amount of money"), ("Open_Date", "31/02/2020", "day/month/year"),
+        ("Last_Activity_Date", "2020-01-06", "day/month/year"),
+        ("Customer_ID", "99999999999", "type int"),
+    ], key=repr)
+    where = {r.raw_text: (r.file.rsplit("/", 1)[-1], r.row) for r in found.collect()}
+    assert where["x1"] == ("accounts.csv", LINES[1]) and where["n/a"] == ("accounts.csv", LINES[2])
+    assert where["2020-01-06"][1] == LINES[3]
+    # As many explained cells as NULLs in place of a text.
+    texts = spark.read.option("header", "true").schema(
+        ", ".join(f"{c} STRING" for c in helpers.ACCOUNT)).csv(path)
+    made = sum(sum(v is None for v in r) for r in clean.clean_accounts(plain).collect())
+    empty = sum(sum(v is None for v in r) for r in texts.collect())
+    # Unknown cards get a name; all other empty cells stay NULL.
+    assert made - empty + sum(r.Credit_Card is None for r in texts.collect()) == 6
+
+
+def test_nothing_to_reject(spark, tmp_path):
+    traced = sources.read_csv_traced(spark, accounts(spark, tmp_path, LINES[:1]), schemas.ACCOUNTS_RAW)
+    rules = rejects.cleaning_rules("accounts")
+    assert rejects.rejected_cells(traced, schemas.ACCOUNTS_RAW, rules).count() == 0
+    assert rejects.rejected_cells(traced.limit(0), schemas.ACCOUNTS_RAW, rules).count() == 0
