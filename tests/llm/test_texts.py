@@ -328,3 +328,32 @@ def test_small_and_deep_sections_of_a_large_host_have_branches(spark):
     bad = {url.removeprefix("http://h.net"): b for url, b in rows}
     assert len(found) == len(rows)
     assert all((r.verdict == "block") == bad[r.path] for r in found)
+
+
+def test_hosts_paths_and_rules_of_all_pages_equal_plain_python(spark):
+    """Every url of the pages and odd ones, by string methods alone."""
+    given = [r.url for r in queries.table(spark, SF_DIR, "pages").select("url").collect()]
+    given += [None, "", "no scheme/x", "http://", "HTTP://ExAmple.ORG/es/1?x=/en", "a://b.com#/fr/", "x://org",
+              "x://sub.EXAMPLE.org/en/1", "x://notexample.org/en/1", "x://com/fr/y", "x://a.com/fr", "x://É.org/",
+              "x://a.com?/fr/", "://net/a://b/c", "x://example.org/en/12"]
+
+    def plain(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+        host = "".join(c.lower() if c.isascii() else c for c in rest[:cut])
+        path = rest[cut:].split("?")[0].split("#")[0]
+        best = None
+        for verdict, rule in queries.URL_RULES:
+            name, _, tail = rule.partition("/")
+            if (host == name or host.endswith("." + name)) and path.startswith("/" + tail):
+                if best is None or len(rule) > len(best[1]):
+                    best = (verdict, rule)
+        return host, path, best[1] if best else None, best[0] if best else None
+
+    pages = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    none = spark.createDataFrame([], "url string, bad boolean")
+    found = {r.page_id: r for r in urls.judge(pages, queries.URL_RULES, none).collect()}
+    for i, url in enumerate(given):
+        host, path, rule, verdict = plain(url)
+        r = found[i]
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or "allow"), url
