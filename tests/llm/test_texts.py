@@ -104,53 +104,73 @@ def test_bucket_counts_do_not_depend_on_chunks(monkeypatch):
     assert Counter(x for b in language._buckets(text) for x in b.tolist()) == whole
 
 
-def kneser_ney(train):
-    """Probabilities by the formulas, with dictionaries."""
+def kneser_ney(train, order):
+    """The same model of any order in plain Python: split(text), counts of words, p(context, word)."""
+
     def split(t):
         return [*(t or "").encode().lower().split(), None]
 
-    pairs, words = Counter(), Counter()
+    words, counts = Counter(), [None] * (order + 1)
+    counts[order] = Counter()
     for t in train:
         w = split(t)
         words.update(w)
-        pairs.update(zip([0, *w[:-1]], w))
-    follows, context, rest = Counter(b for _, b in pairs), Counter(), Counter()
-    d2 = lm._discounts([sum(c == k for c in pairs.values()) for k in (1, 2, 3, 4)])
-    d1 = lm._discounts([sum(c == k for c in follows.values()) for k in (1, 2, 3, 4)])
-    for (a, _), c in pairs.items():
-        context[a] += c
-        rest[a] += d2[min(c, 3)]
-    left = sum(d1[min(c, 3)] for c in follows.values()) / len(pairs)
-
-    def p(a, b):
-        low = max(follows[b] - d1[min(follows[b], 3)], 0) / len(pairs) + left / (len(words) + 1)
-        if not context[a]:
-            return low
-        c = pairs[a, b]
-        return (max(c - d2[min(c, 3)], 0) + rest[a] * low) / context[a]
+        padded = [0] * (order - 1) + w
+        counts[order].update(tuple(padded[i : i + order]) for i in range(len(w)))
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    cuts, total, rest = [None], Counter(), Counter()
+    for n in range(1, order + 1):
+        d = lm._discounts([sum(c == k for c in counts[n].values()) for k in (1, 2, 3, 4)])
+        cuts.append(d)
+        for g, c in counts[n].items():
+            total[g[:-1]] += c
+            rest[g[:-1]] += d[min(c, 3)]
+
+    def p(context, word):
+        low = 1 / (len(words) + 1)
+        for n in range(1, order + 1):
+            before = tuple(context[len(context) - n + 1 :])
+            if total[before]:
+                c = counts[n][(*before, word)]
+                low = (max(c - cuts[n][min(c, 3)], 0) + rest[before] * low) / total[before]
+        return low
 
     return split, words, p
 
 
-def test_language_model_equals_the_formulas(spark, docs):
+@pytest.mark.parametrize("order, shard_bytes", [(1, 10**6), (2, 10**6), (3, 10**6), (3, 600), (4, 600)])
+def test_language_model_equals_the_formulas(spark, docs, order, shard_bytes):
+    """Also with many ranges of the hash, over which hot words are divided."""
     rng = random.Random(4)
     words = [f"w{i}" for i in range(60)]
     train = [" ".join(rng.choices(words, range(1, 61), k=rng.randrange(30))) for _ in range(200)]
-    train += [train[0]] * 50 + ["", None]
-    model = lm.fit(docs(*enumerate(train)).repartition(3))
-    split, counts, p = kneser_ney(train)
+    train += [train[0]] * 300 + ["w1 w2 " * 150, "", None]
+    model = lm.fit(docs(*enumerate(train)).repartition(3), order=order, shard_bytes=shard_bytes)
+    assert (model.hot.shape[1] > 1) == (shard_bytes == 600)
+    split, counts, p = kneser_ney(train, order)
     n, v = sum(counts.values()), len(counts)
-    test = [*train[:20], "W1 unknown w2 unknown unknown", "", None, " ", "w59 " * 500]
+    test = [*train[:20], "W1 unknown w2 unknown unknown w3 w4", "", None, " ", "w59 " * 500, "w1 w2 w1 w2 w1"]
     found = lm.score_texts(model, docs(*enumerate(test))).orderBy("doc_id").collect()
     for r, text in zip(found, test, strict=True):
         w = split(text)
-        score = sum(math.log10(p(a, b)) for a, b in zip([0, *w[:-1]], w))
+        padded = [0] * (order - 1) + w
+        score = sum(math.log10(p(padded[i : i + order - 1], x)) for i, x in enumerate(w))
         base = sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(counts[x] > 0 for x in w), n)
         assert math.isclose(r.score, score, rel_tol=1e-9)
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
-    for a in (0, b"w1", b"w59", None, b"never"):
-        assert math.isclose(sum(p(a, b) for b in counts) + p(a, b"new"), 1, rel_tol=1e-9)
+    for context in ([0, 0, 0], [0, 0, b"w1"], [b"w1", b"w2", b"w1"], [b"w59"] * 3, [b"never", b"w1", b"w2"]):
+        context = context[4 - order :] if order > 1 else []
+        assert math.isclose(sum(p(context, b) for b in counts) + p(context, b"new"), 1, rel_tol=1e-9)
+
+
+def test_language_model_of_one_text(spark, docs):
+    model = lm.fit(docs((1, "a b")))
+    split, _, p = kneser_ney(["a b"], 3)
+    w = [0, 0, *split("a b")]
+    want = sum(math.log10(p(w[i : i + 2], w[i + 2])) for i in range(3))
+    assert math.isclose(lm.score_texts(model, docs((1, "a b"))).first().score, want, rel_tol=1e-9)
 
 
 def test_language_model_of_nothing(spark, docs):
@@ -160,11 +180,23 @@ def test_language_model_of_nothing(spark, docs):
     assert lm.score_texts(model, docs()).count() == 0
 
 
-def test_pairs_pack_and_mix_back():
-    x = np.sort(np.random.default_rng(0).integers(0, 2**63, 1000, dtype=np.uint64))
-    assert (lm._unpack(lm._pack(x)) == x).all()
-    assert (lm._unmix(lm.mix(x)) == x).all()
-    assert lm._unpack(lm._pack(x[:0])).size == 0
+def test_columns_pack_and_are_found():
+    rng = np.random.default_rng(0)
+    x = [np.sort(rng.integers(0, 2**63, 1000, dtype=np.uint64)), rng.integers(0, 300, 1000, dtype=np.uint64)]
+    for a, b in zip(lm._unpack(lm._pack(x), 2), x, strict=True):
+        assert (a == b).all()
+    for n in (1, 7, 16, 1000):
+        order, ends, low = lm._index(x[0][:n] * np.uint64(2) + np.uint64(1))
+        hit, at = lm._find(ends, low, x[0] * np.uint64(2) + np.uint64(1))
+        assert hit.tolist() == list(range(n)) and (order[at] == hit).all()
+
+
+def test_rows_of_many_large_numbers_keep_their_order():
+    rng = np.random.default_rng(1)
+    columns = [rng.integers(0, 1 << 40, 500) // (1 << 36) for _ in range(3)]
+    key = lm._key(columns, 1 << 40)
+    rows = list(zip(*(c.tolist() for c in columns)))
+    assert sorted(range(500), key=lambda i: (key[i], i)) == sorted(range(500), key=lambda i: (rows[i], i))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style></head><body>
