@@ -242,6 +242,36 @@ def test_hot_key_is_split_into_files(spark, tmp_path, conf):
     assert len(store.rows("transactions", store.current()).inputFiles()) >= 4
 
 
+def executions(spark):
+    """All queries of the session so far: (number, error, plan)."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    found = [found.apply(i) for i in range(found.size())]
+    return [(x.executionId(), x.errorMessage().getOrElse(None), x.physicalPlanDescription()) for x in found]
+
+
+def test_rows_are_counted_in_the_stage_that_writes(spark, tmp_path):
+    """Before the shuffle, tasks that run again after the loss of an executor count twice."""
+    store, before = bank.open_store(spark, str(tmp_path / "bank"), 4), executions(spark)
+    bank.replace_tables(store, frames(spark, 0, 20))
+    last = max((n for n, *_ in before), default=-1)
+    plans = [plan for n, _, plan in executions(spark) if n > last and "CollectMetrics" in plan]
+    assert len(plans) == 3
+    for plan in plans:
+        assert plan.index("CollectMetrics") < plan.index("Exchange")
+    release = store.current()
+    assert [sum(f.rows for f in release.of(t)) for t in store.tables] == [41, 20, 81]
+
+
+def test_a_new_store_makes_no_query_fail(spark, tmp_path):
+    before = {n for n, *_ in executions(spark)}
+    store = bank.open_store(spark, str(tmp_path / "bank"), 4)
+    assert store.current().number == 0 and store.vacuum() == 0
+    bank.replace_tables(store, frames(spark, 0, 3))
+    new = [x for x in executions(spark) if x[0] not in before]
+    assert new and [error for _, error, _ in new if error] == []
+
+
 def test_csv_jobs_and_exports(spark, tmp_path, rows):
     from test_jobs import write_batch
 
