@@ -3,6 +3,9 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 import helpers
 from tellerflow.operators import changes
@@ -272,6 +275,64 @@ def test_a_new_store_makes_no_query_fail(spark, tmp_path):
     assert new and [error for _, error, _ in new if error] == []
 
 
+def failing_writes(spark, monkeypatch, tmp_path, times, how):
+    """The first writes of customers fail: the job, or after it a file that is missing."""
+    write, paths = DataFrameWriter.parquet, []
+    (tmp_path / "no.parquet").write_bytes(b"not Parquet")
+
+    def parquet(writer, path, *args, **kwargs):
+        if "/customers/" not in path:
+            return write(writer, path, *args, **kwargs)
+        paths.append(path)
+        if len(paths) <= times and how == "job":
+            spark.read.schema("a INT").parquet(str(tmp_path / "no.parquet")).collect()
+        write(writer, path, *args, **kwargs)
+        if len(paths) <= times:
+            where, system = Store(spark, path, ())._system(f"{path}/*/part-*")
+            system.delete(system.globStatus(where)[0].getPath(), False)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return paths
+
+
+@pytest.mark.parametrize("how", ["job", "file"])
+def test_a_write_that_spark_gives_up_is_made_again(spark, store, rows, monkeypatch, tmp_path, how):
+    want = rows(frames(spark, 0, 40).customers.unionByName(frames(spark, 40, 50).customers))
+    with monkeypatch.context() as patched:
+        paths = failing_writes(spark, patched, tmp_path, 2, how)
+        release = bank.add_tables(store, frames(spark, 40, 50), "b")
+    assert len(set(paths)) == 3
+    given_up = {p.split("version=")[1] for p in paths[:2]}
+    assert not given_up & {f.version for f in release.of("customers")}
+    assert release.number == 2 and rows(store.read()["customers"]) == want
+    with pytest.raises(ReleaseError, match="has the rows of batch b"):
+        bank.add_tables(store, frames(spark, 40, 50), "c")
+
+
+@pytest.mark.parametrize("how, error", [("job", Py4JJavaError), ("file", ReleaseError)])
+def test_a_write_that_always_fails_releases_nothing(
+    spark, store, rows, monkeypatch, tmp_path, how, error
+):
+    before = contents(rows, store)
+    with monkeypatch.context() as patched:
+        paths = failing_writes(spark, patched, tmp_path, 9, how)
+        with pytest.raises(error):
+            bank.add_tables(store, frames(spark, 40, 50))
+    assert len(paths) == 3
+    assert store.current().number == 1 and contents(rows, store) == before
+
+
+def test_an_error_of_the_rows_is_not_tried_again(spark, store, monkeypatch, tmp_path):
+    wrong = F.raise_error(F.lit("no such name")).cast("string")
+    added = frames(spark, 40, 50)
+    added = added._replace(customers=added.customers.withColumn("Name", wrong))
+    with monkeypatch.context() as patched:
+        paths = failing_writes(spark, patched, tmp_path, 0, "job")
+        with pytest.raises(Exception, match="no such name"):
+            bank.add_tables(store, added)
+    assert len(paths) == 1 and store.current().number == 1
+
+
 def test_csv_jobs_and_exports(spark, tmp_path, rows):
     from test_jobs import write_batch
 
