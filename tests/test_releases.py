@@ -1,5 +1,6 @@
 """The store of releases: all tables at once, only what is touched, every batch once."""
 
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -322,6 +323,75 @@ def test_a_write_that_always_fails_releases_nothing(
     assert store.current().number == 1 and contents(rows, store) == before
 
 
+def giving_up(spark, monkeypatch, tmp_path, part, times, after=False):
+    """The first writes to paths with ``part`` fail, before or ``after`` their files are there."""
+    write, paths = DataFrameWriter.parquet, []
+    (tmp_path / "no.parquet").write_bytes(b"not Parquet")
+
+    def parquet(writer, path, *args, **kwargs):
+        hit = part in path
+        paths.extend([path] * hit)
+        fails = hit and len(paths) <= times
+        if after or not fails:
+            write(writer, path, *args, **kwargs)
+        if fails:
+            spark.read.schema("a INT").parquet(str(tmp_path / "no.parquet")).collect()
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return paths
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("part", ["/deletes-", "/removal_keys-", "/delete_unmatched-", "/releases"])
+def test_every_write_of_a_delete_is_made_again(
+    spark, store, rows, monkeypatch, tmp_path, part, after
+):
+    deletes = listed(spark, 0, 11, 999)
+    want = expected_delete(rows, bank.tables(store), deletes)
+    with monkeypatch.context() as patched:
+        paths = giving_up(spark, patched, tmp_path, part, 2, after)
+        release, unmatched = bank.remove_listed(store, deletes)
+    seen = part == "/releases" and after  # the release is there though its job failed
+    assert len(paths) == (1 if seen else 3)
+    assert part == "/releases" or len(set(paths)) == 3
+    assert release.number == 2 and store.current() == release
+    assert contents(rows, store) == want and rows(unmatched) == [(999,)]
+    names = ("/deletes-", "/removal_keys-")
+    assert part not in names or not any(map(os.path.exists, paths))
+
+
+def test_the_updates_are_written_again(spark, store, monkeypatch, tmp_path):
+    update = spark.createDataFrame([(3, "03", "93")], "UCustomer_ID int, Old_Phone_Number string, New_Phone_Number string")
+    with monkeypatch.context() as patched:
+        paths = giving_up(spark, patched, tmp_path, "/updates-", 2)
+        bank.change_phone_numbers(store, update)
+    assert len(paths) == 3
+    left = store.read()["customers"].filter("Customer_ID = 3")
+    assert helpers.column(left, "Phone_Number") == ["93"]
+
+
+@pytest.mark.parametrize("part", ["/delete_unmatched-", "/releases"])
+def test_a_delete_that_always_fails_releases_nothing(
+    spark, store, rows, monkeypatch, tmp_path, part
+):
+    before = contents(rows, store)
+    with monkeypatch.context() as patched:
+        paths = giving_up(spark, patched, tmp_path, part, 9)
+        with pytest.raises(Py4JJavaError):
+            bank.remove_listed(store, listed(spark, 0, 11))
+    assert len(paths) == 3
+    assert store.current().number == 1 and contents(rows, store) == before
+
+
+def test_a_first_release_that_spark_gave_up_is_none(spark, tmp_path, rows):
+    (tmp_path / "new" / "releases").mkdir(parents=True)  # what such a job leaves
+    store = bank.open_store(spark, str(tmp_path / "new"), 16)
+    assert store.current().number == 0 and store.vacuum() == 0
+    bank.replace_tables(store, frames(spark, 0, 3))
+    assert store.current().number == 1
+    assert contents(rows, store) == [rows(df) for df in frames(spark, 0, 3)]
+
+
 def test_an_error_of_the_rows_is_not_tried_again(spark, store, monkeypatch, tmp_path):
     wrong = F.raise_error(F.lit("no such name")).cast("string")
     added = frames(spark, 40, 50)
