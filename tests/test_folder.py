@@ -13,7 +13,10 @@ from tellerchecks import registry
 from tellerflow.sources import roles
 
 #: A store query and the query that rewrites the whole table.
-TWINS = {"store_delete_accounts": "delete_accounts"}
+TWINS = {
+    "store_delete_accounts": "delete_accounts",
+    "store_delete_customers": "delete_customers",
+}
 
 OUTSIDE = """
 import sys
