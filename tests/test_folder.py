@@ -16,6 +16,7 @@ from tellerflow.sources import roles
 TWINS = {
     "store_delete_accounts": "delete_accounts",
     "store_delete_customers": "delete_customers",
+    "store_delete_transactions": "delete_transactions",
 }
 
 OUTSIDE = """
