@@ -17,6 +17,7 @@ TWINS = {
     "store_delete_accounts": "delete_accounts",
     "store_delete_customers": "delete_customers",
     "store_delete_transactions": "delete_transactions",
+    "store_incremental_transactions": "incremental_transactions",
 }
 
 OUTSIDE = """
