@@ -18,6 +18,7 @@ TWINS = {
     "store_delete_customers": "delete_customers",
     "store_delete_transactions": "delete_transactions",
     "store_incremental_transactions": "incremental_transactions",
+    "store_phone_update": "phone_update",
 }
 
 OUTSIDE = """
